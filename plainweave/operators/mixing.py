@@ -150,19 +150,17 @@ def pack_sequences(
     first = F.floor(F.col("_start") / F.lit(length))
     last = F.floor((F.col("_start") + F.col("_n") - 1) / F.lit(length))
 
-    def piece(b: Column) -> Column:
-        lo = F.greatest(b * length, F.col("_start"))
-        hi = F.least((b + 1) * length, F.col("_start") + F.col("_n"))
-        cut = F.slice(
-            F.col(tokens), (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")
-        )
-        return F.struct(b.alias("block"), lo.alias("at"), cut.alias("piece"))
-
+    b, start, n = F.col("block"), F.col("_start"), F.col("_n")
+    lo = F.greatest(b * length, start)
+    hi = F.least((b + 1) * length, start + n)
+    # a slice per output row: inside a higher-order function each one would
+    # copy the whole list
+    cut = F.slice(F.col(tokens), (lo - start + 1).cast("int"), (hi - lo).cast("int"))
     pieces = (
         df.select(*order, tokens)
         .join(places, order)
-        .select("shard", F.explode(F.transform(F.sequence(first, last), piece)).alias("p"))
-        .select("shard", "p.block", "p.at", "p.piece")
+        .select("shard", "_start", "_n", tokens, F.explode(F.sequence(first, last)).alias("block"))
+        .select("shard", "block", lo.alias("at"), cut.alias("piece"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("at", "piece")))
     return (

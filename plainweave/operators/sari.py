@@ -12,16 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainweave.functions.text import grams, normal_tokens
+from plainweave.functions.text import gram_rows, gram_stack, normal_tokens
 
 MAX_N = 4
 
 
 def ngrams(df: DataFrame, keys: list[str], toks: str, max_n: int = MAX_N) -> DataFrame:
     """All 1..max_n-grams of a token column, one row each."""
-    sizes = F.explode(F.sequence(F.lit(1), F.lit(max_n)))
-    sized = df.select(*keys, toks, sizes.alias("n")).where(F.size(toks) >= F.col("n"))
-    return sized.select(*keys, "n", F.explode(grams(F.col(toks), F.col("n"))).alias("gram"))
+    starts = df.select(*keys, F.inline(gram_rows(F.col(toks), max_n)))
+    every = starts.select(*keys, gram_stack(max_n).alias("n", "gram"))
+    return every.where(F.col("gram").isNotNull())
 
 
 def ngram_counts(
@@ -32,18 +32,17 @@ def ngram_counts(
     the source and prediction counts are multiplied by their number."""
     by_side = F.concat(
         F.array(
-            F.struct(F.lit("s").alias("side"), normal_tokens(F.col(source)).alias("toks")),
-            F.struct(F.lit("c").alias("side"), normal_tokens(F.col(prediction)).alias("toks")),
+            F.struct(F.lit("s").alias("side"), F.col(source).alias("text")),
+            F.struct(F.lit("c").alias("side"), F.col(prediction).alias("text")),
         ),
         F.transform(
-            F.col(references),
-            lambda r: F.struct(F.lit("r").alias("side"), normal_tokens(r).alias("toks")),
+            F.col(references), lambda r: F.struct(F.lit("r").alias("side"), r.alias("text"))
         ),
     )
-    sides = df.select(*keys, F.size(references).alias("_refs"), F.explode(by_side).alias("x"))
-    rows = ngrams(
-        sides.select(*keys, "_refs", "x.side", "x.toks"), [*keys, "_refs", "side"], "toks", max_n
-    )
+    sides = df.select(*keys, F.size(references).alias("_refs"), F.inline(by_side))
+    toks = normal_tokens(F.col("text")).alias("toks")
+    carried = [*keys, "_refs", "side"]
+    rows = ngrams(sides.select(*carried, toks), carried, "toks", max_n)
 
     def number(side: str, times: Column) -> Column:
         return F.sum(F.when(F.col("side") == side, times).otherwise(0).cast("long")).alias(side)
@@ -98,16 +97,17 @@ def sari_from_counts(counts: DataFrame, keys: list[str], max_n: int = MAX_N) ->
 
 def sari(
     df: DataFrame, keys: list[str], source: str = "source", prediction: str = "prediction",
-    references: str = "references", max_n: int = MAX_N, clustered: bool = False,
+    references: str = "references", max_n: int = MAX_N, partitions: int | None = None,
 ) -> DataFrame:
     """SARI of every row; ``references`` is an array of texts.
 
-    The texts are hash-partitioned by key once, before they turn into n-grams.
-    Say ``clustered`` where they already are, as after a join on the keys.
+    The texts are hash-partitioned by key once, into a fixed number of parts
+    (spark.sql.shuffle.partitions unless given): sized by their texts alone,
+    adaptive execution would merge them although the n-grams are much larger.
     """
-    texts = df.select(*keys, source, prediction, references)
-    if not clustered:
-        texts = texts.repartition(*keys)
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(*keys, source, prediction, references).repartition(partitions, *keys)
     counts = ngram_counts(texts, keys, source, prediction, references, max_n)
     return sari_from_counts(counts, keys, max_n)
 

@@ -190,8 +190,8 @@ sari_scores AS (
   SELECT {keys}, keep, "delete", "add", 100 * (keep + "delete" + "add") / 3 AS sari FROM f)"""
 
 
-def rounded(*columns: str) -> str:
-    return ", ".join(f'round("{c}", 6) AS "{c}"' for c in columns)
+def rounded(*columns: str, digits: int = 6) -> str:
+    return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in columns)
 
 
 PAIR_SARI = f"""{PAIRS},
@@ -202,7 +202,7 @@ DOC_SARI = f"""inp AS (
   SELECT doc_id, lang, text AS source, {first_sentence("text")} AS prediction,
          [string_split(text, chr(10))[1]] AS refs FROM documents),
 {sari("inp", "doc_id")}"""
-SCORES = rounded("keep", "delete", "add", "sari")
+SCORES = rounded("keep", "delete", "add", "sari", digits=9)
 
 
 def third(n: str, share: str) -> str:
@@ -533,7 +533,7 @@ UNION ALL SELECT 'total', round(avg(sari), 6), count(*) FROM s""",
     "score_summary": f"""WITH {SUMMARY}
 SELECT run_id, seed, model, model_type, num_samples, {rounded(*STATS, *SPEED)} FROM summary""",
     "document_score_summary": f"""WITH {DOC_SARI},
-j AS (SELECT lang, round(sari, 6) AS sari FROM sari_scores JOIN inp USING (doc_id)),
+j AS (SELECT lang, round(sari, 9) AS sari FROM sari_scores JOIN inp USING (doc_id)),
 s AS (SELECT lang, count(*) AS num_samples, avg(sari) AS sari_mean, stddev_pop(sari) AS sari_std,
              min(sari) AS sari_min, max(sari) AS sari_max, quantile_cont(sari, 0.25) AS sari_q25,
              quantile_cont(sari, 0.5) AS sari_median, quantile_cont(sari, 0.75) AS sari_q75

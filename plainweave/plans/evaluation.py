@@ -44,7 +44,7 @@ def score_tiers(
     tiers = difficulty_tiers(corpus, order, as_published)
     answered = predict(corpus.select(*keys, "prompt"), "prompt", factory, settings)
     joined = score_join(answered.drop("prompt"), corpus, keys)
-    scores = sari(joined, keys, clustered=True)
+    scores = sari(joined, keys)
     return tiers.select(*keys, "tier").join(scores.select(*keys, "sari"), keys)
 
 
@@ -64,10 +64,10 @@ def score_grid(
     )
     ids = ["run_id", "seed", "model", "model_type", *keys]
     time = F.lit(None).cast("double") if seconds is None else seconds
-    rows = rows.repartition(*keys).withColumn("n_units", F.size(words(F.col("prediction"))))
+    rows = rows.withColumn("n_units", F.size(words(F.col("prediction"))))
     rows = rows.withColumn("gen_seconds", time)
     carried = [*ids, "n_units", "gen_seconds"]
-    return sari(rows, carried, clustered=True).drop("keep", "delete", "add")
+    return sari(rows, carried).drop("keep", "delete", "add")
 
 
 def campaign(scores: DataFrame) -> tuple[DataFrame, DataFrame]:

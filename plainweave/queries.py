@@ -18,7 +18,7 @@ from plainweave.operators.position import with_position
 from plainweave.operators.staging import new_path, stage
 from plainweave.plans import evaluation, inference, prepare, training
 from plainweave.sources import readers, writers
-from plainweave.sources.tables import PAIR_KEYS, document_pairs, pairs, table
+from plainweave.sources.tables import PAIR_KEYS, document_pairs, documents, pairs, table
 from plainweave.streaming import formatting
 
 DOC = ["doc_id"]
@@ -27,8 +27,14 @@ RUNS, RUN_SHARE = 3, 0.5
 LIMIT = 512
 
 
-def _round(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), 6) for c in columns})
+def _round(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+
+
+def _round_parts(scored: DataFrame) -> DataFrame:
+    # parts are small fractions, often with few binary digits: six decimal
+    # digits would put many of them right on a rounding border
+    return _round(scored, "keep", "delete", "add", "sari", digits=9)
 
 
 def _json(c: Column) -> Column:
@@ -51,7 +57,7 @@ def split_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lines_scan(spark: SparkSession, sf: str) -> DataFrame:
-    lines = readers.text_lines(table(spark, sf, "documents"), DOC)
+    lines = readers.text_lines(documents(spark, sf), DOC)
     return lines.withColumn("line_no", F.col("line_no").cast("long"))
 
 
@@ -75,7 +81,7 @@ def messages_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 def simplified_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Texts written one per line, the file answered line by line, read back."""
     source, target = new_path(spark), new_path(spark)
-    lines = readers.text_lines(table(spark, sf, "documents"), DOC)
+    lines = readers.text_lines(documents(spark, sf), DOC)
     writers.write_lines(lines, source, ["doc_id", "line_no"])
 
     def echo_model(**settings):
@@ -145,7 +151,7 @@ def chat_render(spark: SparkSession, sf: str) -> DataFrame:
 
 def chat_render_generation(spark: SparkSession, sf: str) -> DataFrame:
     shown = chat.render_turns(chat.inference_turns(F.col("text")), answer=True)
-    return table(spark, sf, "documents").select("doc_id", shown.alias("asked"))
+    return documents(spark, sf).select("doc_id", shown.alias("asked"))
 
 
 def system_prompt_override(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +167,7 @@ def system_prompt_override(spark: SparkSession, sf: str) -> DataFrame:
 
 def baseline_query(spark: SparkSession, sf: str) -> DataFrame:
     asked = evaluation.baseline_queries(
-        table(spark, sf, "documents").withColumnRenamed("text", "prompt"), DOC
+        documents(spark, sf).withColumnRenamed("text", "prompt"), DOC
     )
     return asked.select("doc_id", _json("messages").alias("messages"))
 
@@ -189,7 +195,7 @@ def strip_prompt_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def truncate_tokens(spark: SparkSession, sf: str) -> DataFrame:
     cut = lengths.truncate(text.tokens(F.col("text")), LIMIT)
-    return table(spark, sf, "documents").select("doc_id", _words(cut).alias("tokens"))
+    return documents(spark, sf).select("doc_id", _words(cut).alias("tokens"))
 
 
 def template_dispatch(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,7 +217,7 @@ def zip_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Sentences and lines of a document paired up, and formatted as lists."""
     a = text.sentences(F.col("text"))
     b = F.split("text", "\n", -1)
-    rows = table(spark, sf, "documents").select("doc_id", a.alias("a"), b.alias("b"))
+    rows = documents(spark, sf).select("doc_id", a.alias("a"), b.alias("b"))
     zipped = chat.zip_lists(F.col("a"), F.col("b"))
     shown = chat.formatter_lists("chatml", "S")(F.col("a"), F.col("b"))
     return rows.select(
@@ -221,7 +227,7 @@ def zip_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 def generated_label(spark: SparkSession, sf: str) -> DataFrame:
     answered = predict.predict(
-        table(spark, sf, "documents").select("doc_id", "text"), "text", predict.first_sentence_model
+        documents(spark, sf).select("doc_id", "text"), "text", predict.first_sentence_model
     )
     return corpus.label_generated(answered.select("doc_id", "prediction"))
 
@@ -230,7 +236,7 @@ def generated_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def length_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rows = lengths.within_length(table(spark, sf, "documents"), "text", LIMIT)
+    rows = lengths.within_length(documents(spark, sf), "text", LIMIT)
     return rows.select("doc_id", "lang", F.size(text.tokens(F.col("text"))).alias("n_tokens"))
 
 
@@ -319,7 +325,7 @@ def interleave_uneven(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = documents(spark, sf).select(
         "doc_id", text.tokens(F.col("text")).alias("tokens")
     )
     packed = mixing.pack_sequences(docs, DOC, "tokens", LIMIT, shard_rows=300)
@@ -381,7 +387,7 @@ def step_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sari_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", text.normalise(F.col("text")).alias("normalised")
     )
 
@@ -405,8 +411,8 @@ def ngram_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sari_sentence(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score.sari(_answered(spark, sf), PAIR_KEYS, clustered=True)
-    return _round(scored, "keep", "delete", "add", "sari")
+    scored = score.sari(_answered(spark, sf), PAIR_KEYS)
+    return _round_parts(scored)
 
 
 def sari_two_references(spark: SparkSession, sf: str) -> DataFrame:
@@ -415,12 +421,12 @@ def sari_two_references(spark: SparkSession, sf: str) -> DataFrame:
         *PAIR_KEYS, F.col("prompt").alias("source"),
         text.first_sentence(F.col("prompt")).alias("prediction"), both.alias("references"),
     )
-    scored = score.metric("sari")(rows, PAIR_KEYS, clustered=True)
-    return _round(scored, "keep", "delete", "add", "sari")
+    scored = score.metric("sari")(rows, PAIR_KEYS)
+    return _round_parts(scored)
 
 
 def sari_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    scored = score.sari(_answered(spark, sf), PAIR_KEYS, clustered=True)
+    scored = score.sari(_answered(spark, sf), PAIR_KEYS)
     out = scored.agg(F.avg("sari").alias("sari"), F.count(F.lit(1)).alias("rows"))
     return _round(out, "sari")
 
@@ -433,7 +439,7 @@ def sari_documents(spark: SparkSession, sf: str) -> DataFrame:
         text.first_sentence(F.col("text")).alias("prediction"),
         F.array(F.split("text", "\n", -1)[0]).alias("references"),
     )
-    return _round(score.sari(rows, DOC), "keep", "delete", "add", "sari")
+    return _round_parts(score.sari(rows, DOC))
 
 
 def score_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -619,7 +625,7 @@ def timestamp_label(spark: SparkSession, sf: str) -> DataFrame:
 
 def predict_batches(spark: SparkSession, sf: str) -> DataFrame:
     """The model call over partitions, with a per-task model and real batches."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     answered = predict.predict(docs, "text", predict.first_sentence_model, {"max_new_tokens": 64})
     return answered.select("doc_id", "prediction")
 

@@ -17,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SPREAD_BELOW = 16 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an input over the cores when it is too small to fill them, as one
+    file of a few megabytes is a single task however much work a row is. Larger
+    inputs (from 16 MB per core on) are read as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size < cores * SPREAD_BELOW else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def split_label(keys: list[str]) -> Column:
     """70/20/10 by row key: a row keeps its split when the corpus grows."""
     u = uniform(SPLIT_SEED, "split", keys)
@@ -42,7 +58,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a bulk corpus: the whole text, with its first sentence in
     the place of the simplified text."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id",
         F.col("text").alias("prompt"),
         first_sentence(F.col("text")).alias("result"),
