@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from plainweave.functions.fixed import NORMAL_95, T_CRITICAL_95
-from plainweave.operators.sampling import evaluation_sample
+from plainweave.operators.sampling import sample_condition
+from plainweave.operators.staging import stage
 
 
 def models_column(models: list[dict]) -> Column:
@@ -44,14 +45,19 @@ def evaluation_grid(
     base_seed: int = 42,
 ) -> DataFrame:
     """Each run draws its own sample (seeds base, base + 1, ...); each model
-    answers all of it."""
-    grid = None
+    answers all of it. A row is read once and repeated for the runs that drew it.
+
+    ``size`` is a number of rows, a share of them (as float), or None for all.
+    """
+    narrow = corpus.select(*keys) if size is None else stage(corpus.select(*keys))
+    drawn = []
     for i in range(runs):
         seed = base_seed + i
-        run = evaluation_sample(corpus, keys, size, seed).select(
-            F.lit(i + 1).alias("run_id"), F.lit(seed).alias("seed"), "*"
-        )
-        grid = run if grid is None else grid.unionByName(run)
+        run = F.struct(F.lit(i + 1).alias("run_id"), F.lit(seed).alias("seed"))
+        drawn.append(F.when(sample_condition(narrow, keys, size, seed), run))
+    once = corpus.withColumn("_runs", F.array_compact(F.array(*drawn)))
+    columns = ["_run.run_id", "_run.seed", *corpus.columns]
+    grid = once.withColumn("_run", F.explode("_runs")).select(*columns)
     return per_model(grid, models)
 
 

@@ -89,7 +89,9 @@ def interleave(
     no single key has to serve more than REPEATS_PER_COPY positions.
     """
     spark = rows.sparkSession
-    sizes = [p.count() for p in parts]
+    counted = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()
+    found = {r["source"]: r["n"] for r in counted}
+    sizes = [found.get(s, 0) for s in range(len(parts))]
     if min(sizes) == 0:
         raise ValueError("an empty source can never be exhausted")
     end, size = _last_position(spark, sizes, probabilities, seed)

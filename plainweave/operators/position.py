@@ -52,39 +52,39 @@ def with_position(
     """
     within = list(within)
     ranged = in_ranges(df, within + order)
-    # one row per range: the number of ranges is a setting, not the data size
-    starts = (
-        ranged.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, 0))
-            - F.col("_n"),
-        )
-        .select("_range", "_before")
+    group = ["_range", *within]
+    # one row per range and group, so a group in several ranges has several rows
+    starts = ranged.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
     )
-    placed = ranged.join(F.broadcast(starts), "_range").withColumn(
-        name, F.col("_before") + F.col("_at")
+    upto = W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
+    offsets = starts.select(
+        *group, (F.sum("_n").over(upto) - F.col("_n") - F.col("_first")).alias("_offset")
     )
-    if within:
-        firsts = placed.groupBy(*within).agg(F.min(name).alias("_first"))
-        placed = placed.join(firsts, within).withColumn(name, F.col(name) - F.col("_first"))
-    return placed.select(*df.columns, name)
+    if not within:  # then its size is the number of ranges, a setting
+        offsets = F.broadcast(offsets)
+    # the range is part of the join key, so a large group is not one join key
+    placed = ranged.join(offsets, group)
+    return placed.select(*df.columns, (F.col("_offset") + F.col("_at")).alias(name))
 
 
 def running(
-    df: DataFrame, order: list[str], sums: dict[str, str], within: list[str] = ()
+    df: DataFrame, order: list[str], sums: dict[str, str], within: list[str] = (),
+    total: str | None = None,
 ) -> DataFrame:
-    """Running sums in key order: ``sums`` maps new column to summed column."""
+    """Running sums in key order: ``sums`` maps new column to summed column.
+    ``total`` names a column for the group's whole sum of the first of them."""
     within = list(within)
     ranged = in_ranges(df, within + order)
     group = ["_range", *within]
     totals = ranged.groupBy(*group).agg(*[F.sum(c).alias(f"_sum_{o}") for o, c in sums.items()])
     # one row per range and group; a group's rows here are at most the ranges
     earlier = W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    whole = [] if total is None else [
+        F.sum(f"_sum_{next(iter(sums))}").over(W.partitionBy(*within)).alias(total)
+    ]
     before = totals.select(
-        *group,
-        *[F.sum(f"_sum_{o}").over(earlier).alias(f"_before_{o}") for o in sums],
+        *group, *[F.sum(f"_sum_{o}").over(earlier).alias(f"_before_{o}") for o in sums], *whole
     )
     inside = W.partitionBy(*group).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
     local = ranged.select(
@@ -99,6 +99,7 @@ def running(
             .alias(o)
             for o in sums
         ],
+        *([] if total is None else [total]),
     )
 
 
@@ -222,7 +223,8 @@ def keys_at(df: DataFrame, order: list[str], ranks: dict, group: str | None = No
     if max(r for rs in ranks.values() for r in rs) < GROUP_LIMIT:
         high = max(r for rs in ranks.values() for r in rs) + 1
         rank = F.row_number().over(W.partitionBy("_group").orderBy(*order))
-        placed = narrow.withColumn("position", rank - 1).where(F.col("position") < high)
+        first = narrow.withColumn("_rank", rank).where(F.col("_rank") <= high)
+        placed = first.withColumn("position", F.col("_rank") - 1)
     else:
         placed = with_position(narrow, order, ["_group"])
     hit = None
@@ -254,9 +256,7 @@ def quantiles(df: DataFrame, within: list[str], value: str, shares: dict[str, fl
     counted = rows.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    summed = running(counted, [value], {"_upto": "_n"}, groups)
-    totals = summed.groupBy(*groups).agg(F.max("_upto").alias("_total"))
-    joined = summed.join(totals, groups)
+    summed = running(counted, [value], {"_upto": "_n"}, groups, "_total")
 
     def at(rank: Column) -> Column:
         here = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
@@ -268,7 +268,7 @@ def quantiles(df: DataFrame, within: list[str], value: str, shares: dict[str, fl
         low, high = F.floor(rank), F.ceil(rank)
         aggs += [at(low).alias(f"_lo_{name}"), at(high).alias(f"_hi_{name}"),
                  F.max(rank - low).alias(f"_f_{name}")]
-    found = joined.groupBy(*groups).agg(*aggs)
+    found = summed.groupBy(*groups).agg(*aggs)
     return found.select(
         *within,
         *[

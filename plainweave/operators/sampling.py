@@ -6,7 +6,7 @@ the texts are neither sorted nor shuffled for them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.operators.position import (
@@ -41,14 +41,19 @@ def sample_exact(
     return df.where(hash_cut(df, keys, sizes, seed, "sample", "split"))
 
 
+def sample_condition(df: DataFrame, keys: list[str], size: float | None, seed: int) -> Column:
+    """True for a seeded sample of ``size`` rows (as a float: that share of
+    them), or for every row when no size is given."""
+    if size is None:
+        return F.lit(True)
+    return hash_cut(df, keys, {"all": size}, seed, "sample")
+
+
 def evaluation_sample(
     df: DataFrame, keys: list[str], size: float | None, seed: int = 42
 ) -> DataFrame:
-    """A seeded sample of ``size`` rows (or, as a float, that share of them);
-    everything when no size is given."""
-    if size is None:
-        return df
-    return df.where(hash_cut(df, keys, {"all": size}, seed, "sample"))
+    """The rows of such a sample."""
+    return df.where(sample_condition(df, keys, size, seed))
 
 
 def shuffle_order(
@@ -58,9 +63,14 @@ def shuffle_order(
     return hash_position(df, keys, seed, "shuffle", within)
 
 
+def ratio_condition(df: DataFrame, keys: list[str], ratio: float, seed: int = 42) -> Column:
+    """True for exactly floor(n * ratio) random rows."""
+    return hash_cut(df, keys, {"all": float(ratio)}, seed, "part")
+
+
 def ratio_partition(df: DataFrame, keys: list[str], ratio: float, seed: int = 42) -> DataFrame:
-    """Label exactly floor(n * ratio) random rows 'ordered', the rest 'shuffled'."""
-    first = hash_cut(df, keys, {"all": float(ratio)}, seed, "part")
+    """Label those rows 'ordered' and the rest 'shuffled'."""
+    first = ratio_condition(df, keys, ratio, seed)
     return df.withColumn("part", F.when(first, "ordered").otherwise("shuffled"))
 
 

@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 
 from plainweave.operators.corpus import add_instruction, add_two_turns, complete
 from plainweave.operators.mixing import interleave
-from plainweave.operators.sampling import part_positions, ratio_partition, shuffle_order
+from plainweave.operators.sampling import part_positions, ratio_condition, shuffle_order
+from plainweave.operators.staging import stage
 
 
 def mix_training(
     train: DataFrame, keys: list[str], order: list[str], ratio: float = 0.7, seed: int = 42
 ) -> DataFrame:
-    """Interleave the ordered and the shuffled part by their share; adds row_id."""
-    labelled = ratio_partition(train, keys, ratio, seed)
-    places = part_positions(labelled, keys, order, seed)
-    names = ["ordered", "shuffled"]
-    rows = labelled.withColumn("source", F.when(F.col("part") == "ordered", 0).otherwise(1))
-    parts = [places[n] for n in names]
+    """Interleave the ordered and the shuffled part by their share; adds row_id.
+
+    The keys are written once and all counting, ranking and placing is done on
+    them; the rows themselves are read and moved once, at the end.
+    """
+    narrow = stage(train.select(*dict.fromkeys([*keys, *order])))
+    first = ratio_condition(narrow, keys, ratio, seed)
+    part = F.when(first, "ordered").otherwise("shuffled")
+    places = part_positions(narrow.withColumn("part", part), keys, order, seed)
+    rows = train.withColumn("part", part).withColumn(
+        "source", F.when(F.col("part") == "ordered", 0).otherwise(1)
+    )
+    parts = [places["ordered"], places["shuffled"]]
     return interleave(rows, parts, keys, [ratio, 1 - ratio], seed)
 
 
