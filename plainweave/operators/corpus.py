@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from plainweave.functions.chat import conversation, instruction, two_turns
 from plainweave.functions.text import normal_tokens, sentences, words
+from plainweave.operators.position import with_position
+from plainweave.operators.staging import stage
 
 
 def complete(df: DataFrame) -> DataFrame:
@@ -51,6 +53,16 @@ def difference(prompt: Column, result: Column) -> Column:
     return F.lit(1.0) - both / (F.size(a) + F.size(b) - both)
 
 
+def difficulty_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, difference and position in the curriculum: least changed first.
+
+    The differences are written before they are ranked, since ranking samples
+    its input first and would compute them twice.
+    """
+    changed = difference(F.col("prompt"), F.col("result")).alias("difference")
+    return with_position(stage(df.select(*keys, changed)), ["difference", *keys])
+
+
 def add_instruction(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
     """Choose an instruction per row; an existing one is overwritten."""
     return df.withColumn("instruction", instruction(F.col("prompt"), keys, seed))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from plainweave.functions.hashing import uniform
 from plainweave.operators.position import with_position
+from plainweave.operators.staging import stage
 
 MIN_BLOCK, MAX_BLOCKS = 65_536, 65_536
 REPEATS_PER_COPY = 1000
@@ -140,7 +141,9 @@ def pack_sequences(
     over counts only, a shard and a block are bounded by their settings, and
     the tokens move once to rows and once to blocks.
     """
-    counts = df.select(*order, F.size(tokens).cast("long").alias("_n")).where(F.col("_n") > 0)
+    counts = stage(
+        df.select(*order, F.size(tokens).cast("long").alias("_n")).where(F.col("_n") > 0)
+    )
     shard = F.floor(F.col("position") / F.lit(shard_rows))
     upto = W.partitionBy("shard").orderBy("position").rowsBetween(W.unboundedPreceding, 0)
     places = (

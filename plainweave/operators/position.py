@@ -47,8 +47,9 @@ def with_position(
 ) -> DataFrame:
     """0-based position in key order, counted over the whole table or per group.
 
-    Pass only the columns needed: they are all sorted and written once. A group
-    may be as large as it likes, because ranges cut through groups.
+    Pass only the columns needed: they are all sorted and written once, and read
+    twice, since borders are sampled first; stage what is dear to compute. A
+    group may be as large as it likes, because ranges cut through groups.
     """
     within = list(within)
     ranged = in_ranges(df, within + order)

@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 _written: list[str] = []
 
 
+_local_root: list[str] = []
+
+
 def stage_root(spark: SparkSession) -> str:
     """The shared folder the cluster names. Only a local session without one
     gets a temporary folder: executors elsewhere could not read it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="plainweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="plainweave-"))
+    return _local_root[0]
 
 
 def new_path(spark: SparkSession) -> str:

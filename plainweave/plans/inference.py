@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plainweave.functions.chat import inference_turns, render_turns
 from plainweave.operators.predict import predict
+from plainweave.operators.staging import stage
 from plainweave.sources.readers import keep_texts
 from plainweave.sources.writers import write_lines
 
@@ -33,5 +34,7 @@ def simplify_file(spark: SparkSession, source: str, target: str, factory: Callab
         F.monotonically_increasing_id().alias("line"),
         F.col("value").alias("text"),
     )
-    answered = answer_texts(keep_texts(lines), factory, **options)
+    # written before they are sorted: sorting reads its input twice, and the
+    # model shall answer each text once
+    answered = stage(answer_texts(keep_texts(lines), factory, **options).drop("text"))
     write_lines(answered, target, ["file", "part", "line"], "prediction")

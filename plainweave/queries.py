@@ -300,9 +300,7 @@ def difficulty_tiers_published(spark: SparkSession, sf: str) -> DataFrame:
 
 def difficulty_sort(spark: SparkSession, sf: str) -> DataFrame:
     """Curriculum position: the least changed pairs first."""
-    changed = corpus.difference(F.col("prompt"), F.col("result"))
-    rows = pairs(spark, sf).select(*PAIR_KEYS, changed.alias("difference"))
-    return _round(with_position(rows, ["difference", *PAIR_KEYS]), "difference")
+    return _round(corpus.difficulty_order(pairs(spark, sf), PAIR_KEYS), "difference")
 
 
 def batch_ids(spark: SparkSession, sf: str) -> DataFrame:
