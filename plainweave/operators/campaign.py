@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from plainweave.functions.fixed import NORMAL_95, T_CRITICAL_95
-from plainweave.operators.sampling import sample_condition
-from plainweave.operators.staging import stage
+from plainweave.operators.sampling import sample_conditions
 
 
 def models_column(models: list[dict]) -> Column:
@@ -49,12 +48,12 @@ def evaluation_grid(
 
     ``size`` is a number of rows, a share of them (as float), or None for all.
     """
-    narrow = corpus.select(*keys) if size is None else stage(corpus.select(*keys))
-    drawn = []
-    for i in range(runs):
-        seed = base_seed + i
-        run = F.struct(F.lit(i + 1).alias("run_id"), F.lit(seed).alias("seed"))
-        drawn.append(F.when(sample_condition(narrow, keys, size, seed), run))
+    seeds = [base_seed + i for i in range(runs)]
+    chosen = sample_conditions(corpus, keys, size, seeds)
+    drawn = [
+        F.when(c, F.struct(F.lit(i + 1).alias("run_id"), F.lit(seed).alias("seed")))
+        for i, (seed, c) in enumerate(zip(seeds, chosen, strict=True))
+    ]
     once = corpus.withColumn("_runs", F.array_compact(F.array(*drawn)))
     columns = ["_run.run_id", "_run.seed", *corpus.columns]
     grid = once.withColumn("_run", F.explode("_runs")).select(*columns)

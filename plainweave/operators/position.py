@@ -136,29 +136,16 @@ def hash_position(
     )
 
 
-def hash_cut(
-    df: DataFrame,
-    keys: list[str],
-    sizes: dict,
-    seed: int,
-    purpose: str,
-    group: str | None = None,
-) -> Column:
-    """Predicate true for exactly the first ``sizes[g]`` rows of each group in
-    seeded order (all rows where a group has no more, or is not listed).
+def _borders(keyed: DataFrame, sizes: dict) -> dict:
+    """Per group the last row (_order, _key) among its first ``sizes[group]``
+    rows; None for no rows at all, and no entry where the group has no more.
 
-    A size below 1 and given as float is a share of the group's rows. Only the
-    row at the border is looked for: counts per bucket say which bucket holds
-    it, that bucket alone is ranked, and the wide rows are then kept or dropped
-    one by one, without a shuffle.
+    Counts per bucket say which bucket holds that row, and that bucket alone is
+    ranked. Both jobs read narrow columns and return one row per listed group.
     """
-    g = F.lit("all") if group is None else F.col(group)
-    keyed = df.select(
-        g.alias("_group"), order_key(seed, purpose, keys).alias("_order"), row_key(keys).alias("_key")
-    ).withColumn("_bucket", bucket(F.col("_order")))
-    wanted = sizes if group is not None else {"all": sizes["all"]}
-    keyed = keyed.where(F.col("_group").isin(list(wanted)))
-
+    keyed = keyed.where(F.col("_group").isin(list(sizes))).withColumn(
+        "_bucket", bucket(F.col("_order"))
+    )
     by_bucket = W.partitionBy("_group").orderBy("_bucket")
     counts = (
         keyed.groupBy("_group", "_bucket")
@@ -167,52 +154,90 @@ def hash_cut(
         .withColumn("_total", F.sum("_n").over(W.partitionBy("_group")))
     )
     size = None
-    for name, k in wanted.items():
+    for name, k in sizes.items():
         rows = F.floor(F.col("_total") * F.lit(k)) if isinstance(k, float) else F.lit(k)
-        rows = rows.cast("long")
         is_name = F.col("_group") == name
+        rows = rows.cast("long")
         size = F.when(is_name, rows) if size is None else size.when(is_name, rows)
-    border = (
+    before = F.col("_upto") - F.col("_n")
+    holds_last = (before < F.col("_size")) & (F.col("_size") <= F.col("_upto"))
+    found = (
         counts.withColumn("_size", size)
-        .where(F.col("_size") < F.col("_total"))
-        .where(
-            (F.col("_upto") - F.col("_n") < F.col("_size")) & (F.col("_size") <= F.col("_upto"))
-            | (F.col("_size") == 0) & (F.col("_upto") == F.col("_n"))
-        )
-        .select(
-            "_group", "_bucket", (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_rest")
-        )
+        .where((F.col("_size") < F.col("_total")) & (holds_last | (F.col("_size") + before == 0)))
+        .select("_group", "_bucket", (F.col("_size") - before).alias("_rest"))
         .collect()
-    )  # one row per listed group
-    keep = F.lit(True)
-    if not border:
-        return keep
-    inside = None
-    for row in border:
+    )
+    last = {row["_group"]: None for row in found}
+    ranked = [row for row in found if row["_rest"] > 0]
+    if not ranked:
+        return last
+    here = None
+    for row in ranked:
         at = (F.col("_group") == row["_group"]) & (F.col("_bucket") == row["_bucket"])
-        inside = at if inside is None else inside | at
-    ranks = F.row_number().over(W.partitionBy("_group").orderBy("_order", "_key"))
-    rest = F.create_map(*[F.lit(x) for row in border for x in (row["_group"], row["_rest"])])
-    last = (
-        keyed.where(inside)
-        .withColumn("_rank", ranks)
+        here = at if here is None else here | at
+    rest = F.create_map(*[F.lit(x) for row in ranked for x in (row["_group"], row["_rest"])])
+    rank = F.row_number().over(W.partitionBy("_group").orderBy("_order", "_key"))
+    rows = (
+        keyed.where(here)
+        .withColumn("_rank", rank)
         .where(F.col("_rank") == F.element_at(rest, F.col("_group")))
         .select("_group", "_order", "_key")
         .collect()
-    )  # again one row per group
-    found = {row["_group"]: row for row in last}
-    here = F.struct(order_key(seed, purpose, keys), row_key(keys))
-    for row in border:
-        name = row["_group"]
-        if name in found:
-            end = F.struct(F.lit(found[name]["_order"]), F.lit(found[name]["_key"]))
-            ok = here <= end
-        else:
-            ok = F.lit(False)  # asked for no rows
+    )
+    return {**last, **{row["_group"]: (row["_order"], row["_key"]) for row in rows}}
+
+
+def _not_behind(order: Column, keys: list[str], border: tuple | None) -> Column:
+    if border is None:
+        return F.lit(False)
+    return F.struct(order, row_key(keys)) <= F.struct(F.lit(border[0]), F.lit(border[1]))
+
+
+def hash_cut(
+    df: DataFrame,
+    keys: list[str],
+    sizes: dict,
+    seed: int,
+    purpose: str,
+    group: str | None = None,
+) -> Column:
+    """Predicate true for exactly the first ``sizes[g]`` rows of each group in
+    seeded order (all rows where a group has no more, or is not listed). Without
+    a group column the only group is "all".
+
+    A size given as float is a share of the group's rows. Only the row at the
+    border is looked for; the wide rows are then kept or dropped one by one,
+    without a shuffle.
+    """
+    g = F.lit("all") if group is None else F.col(group)
+    order = order_key(seed, purpose, keys)
+    keyed = df.select(g.alias("_group"), order.alias("_order"), row_key(keys).alias("_key"))
+    keep = F.lit(True)
+    for name, border in _borders(keyed, sizes).items():
+        ok = _not_behind(order, keys, border)
         keep = keep & (ok if group is None else (g != name) | ok)
     return keep
 
 
+def hash_cuts(
+    df: DataFrame, keys: list[str], size: float, seeds: list[int], purpose: str
+) -> list[Column]:
+    """One such predicate per seed, over the whole frame; found together."""
+    orders = [order_key(seed, purpose, keys) for seed in seeds]
+    each = F.array(
+        *[
+            F.struct(F.lit(str(s)).alias("_group"), o.alias("_order"))
+            for s, o in zip(seeds, orders, strict=True)
+        ]
+    )
+    keyed = df.select(row_key(keys).alias("_key"), F.inline(each))
+    borders = _borders(keyed, {str(s): size for s in seeds})
+    return [
+        _not_behind(o, keys, borders[str(s)]) if str(s) in borders else F.lit(True)
+        for s, o in zip(seeds, orders, strict=True)
+    ]
+
+
 def keys_at(df: DataFrame, order: list[str], ranks: dict, group: str | None = None) -> dict:
     """Key values at given 0-based positions: {(group, rank): Row of keys}.
 

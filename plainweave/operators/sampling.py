@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from plainweave.operators.position import (
     hash_cut,
+    hash_cuts,
     hash_position,
     keys_at,
     not_after,
     with_position,
 )
+from plainweave.operators.staging import stage
 
 SPLITS = ["train", "val", "test"]
 
@@ -41,19 +43,21 @@ def sample_exact(
     return df.where(hash_cut(df, keys, sizes, seed, "sample", "split"))
 
 
-def sample_condition(df: DataFrame, keys: list[str], size: float | None, seed: int) -> Column:
-    """True for a seeded sample of ``size`` rows (as a float: that share of
-    them), or for every row when no size is given."""
+def sample_conditions(
+    df: DataFrame, keys: list[str], size: float | None, seeds: list[int]
+) -> list[Column]:
+    """Per seed, a condition true for a sample of ``size`` rows (as a float: that
+    share of them), or for every row when no size is given."""
     if size is None:
-        return F.lit(True)
-    return hash_cut(df, keys, {"all": size}, seed, "sample")
+        return [F.lit(True) for _ in seeds]
+    return hash_cuts(stage(df.select(*keys)), keys, size, seeds, "sample")
 
 
 def evaluation_sample(
     df: DataFrame, keys: list[str], size: float | None, seed: int = 42
 ) -> DataFrame:
-    """The rows of such a sample."""
-    return df.where(sample_condition(df, keys, size, seed))
+    """The rows of one such sample."""
+    return df.where(sample_conditions(df, keys, size, [seed])[0])
 
 
 def shuffle_order(
