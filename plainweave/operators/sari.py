@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plainweave.functions.text import gram_rows, gram_stack, normal_tokens
 
 MAX_N = 4
+PARTS_PER_CORE = 4
 
 
 def ngrams(df: DataFrame, keys: list[str], toks: str, max_n: int = MAX_N) -> DataFrame:
@@ -101,12 +102,17 @@ def sari(
 ) -> DataFrame:
     """SARI of every row; ``references`` is an array of texts.
 
-    The texts are hash-partitioned by key once, into a fixed number of parts
-    (spark.sql.shuffle.partitions unless given): sized by their texts alone,
-    adaptive execution would merge them although the n-grams are much larger.
+    The texts are hash-partitioned by key once, into a fixed number of parts:
+    sized by their texts alone, adaptive execution would merge them although the
+    n-grams are much larger. Several small parts per core keep a part's n-grams
+    in memory; aim at some 16 MB of text each, and more parts rather than fewer.
     """
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark = df.sparkSession
+        partitions = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            PARTS_PER_CORE * spark.sparkContext.defaultParallelism,
+        )
     texts = df.select(*keys, source, prediction, references).repartition(partitions, *keys)
     counts = ngram_counts(texts, keys, source, prediction, references, max_n)
     return sari_from_counts(counts, keys, max_n)
