@@ -56,18 +56,28 @@ def score_grid(
     of the answer and the seconds it took where the caller knows them."""
     grid = evaluation_grid(corpus, keys, models, runs, size, base_seed)
     answer = baseline_answer(F.col("model"), F.col("prompt"), F.col("result"))
+    names = F.array(*[F.lit(m["model"]) for m in models])
+    kinds = F.array(*[F.lit(m.get("type", "role_tags")) for m in models])
     rows = grid.select(
-        "run_id", "seed", "model", "model_type", *keys,
+        "run_id",
+        F.array_position(names, F.col("model")).cast("int").alias("_model"),
+        *keys,
         F.col("prompt").alias("source"),
         answer.alias("prediction"),
         F.array("result").alias("references"),
     )
-    ids = ["run_id", "seed", "model", "model_type", *keys]
     time = F.lit(None).cast("double") if seconds is None else seconds
     rows = rows.withColumn("n_units", F.size(words(F.col("prediction"))))
     rows = rows.withColumn("gen_seconds", time)
-    carried = [*ids, "n_units", "gen_seconds"]
-    return sari(rows, carried).drop("keep", "delete", "add")
+    # every n-gram carries the row's key: numbers here, names afterwards
+    scored = sari(rows, ["run_id", "_model", *keys, "n_units", "gen_seconds"])
+    return scored.select(
+        "run_id",
+        (F.col("run_id") + F.lit(base_seed - 1)).alias("seed"),
+        F.element_at(names, F.col("_model")).alias("model"),
+        F.element_at(kinds, F.col("_model")).alias("model_type"),
+        *keys, "n_units", "gen_seconds", "sari",
+    )
 
 
 def campaign(scores: DataFrame) -> tuple[DataFrame, DataFrame]:

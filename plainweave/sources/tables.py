@@ -45,7 +45,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Joined on (conversation, turn), which is unique, so a conversation of any
     length spreads over the tasks.
     """
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"), *PAIR_KEYS)
     asked = turns.where(F.col("role") == "user").select(
         "conv_id", "turn", F.col("text").alias("prompt")
     )
