@@ -31,27 +31,22 @@ def ngram_counts(
 ) -> DataFrame:
     """Multiset counts s, c, r of every n-gram of a row. With several references
     the source and prediction counts are multiplied by their number."""
-    by_side = F.concat(
-        F.array(
-            F.struct(F.lit("s").alias("side"), F.col(source).alias("text")),
-            F.struct(F.lit("c").alias("side"), F.col(prediction).alias("text")),
-        ),
-        F.transform(
-            F.col(references), lambda r: F.struct(F.lit("r").alias("side"), r.alias("text"))
-        ),
-    )
-    sides = df.select(*keys, F.size(references).alias("_refs"), F.inline(by_side))
-    toks = normal_tokens(F.col("text")).alias("toks")
-    carried = [*keys, "_refs", "side"]
-    rows = ngrams(sides.select(*carried, toks), carried, "toks", max_n)
 
-    def number(side: str, times: Column) -> Column:
-        return F.sum(F.when(F.col("side") == side, times).otherwise(0).cast("long")).alias(side)
+    def side(text: Column, s: Column, c: Column, r: Column) -> Column:
+        return F.struct(text.alias("text"), s.alias("s"), c.alias("c"), r.alias("r"))
 
-    one = F.lit(1)
-    return rows.groupBy(*keys, "n", "gram").agg(
-        number("s", F.col("_refs")), number("c", F.col("_refs")), number("r", one)
+    none, one, times = F.lit(0), F.lit(1), F.size(references)
+    sides = F.concat(
+        F.array(
+            side(F.col(source), times, none, none), side(F.col(prediction), none, times, none)
+        ),
+        F.transform(F.col(references), lambda r: side(r, none, none, one)),
     )
+    carried = [*keys, "s", "c", "r"]
+    texts = df.select(*keys, F.inline(sides))
+    toks = texts.select(*carried, normal_tokens(F.col("text")).alias("toks"))
+    rows = ngrams(toks, carried, "toks", max_n)
+    return rows.groupBy(*keys, "n", "gram").agg(*[F.sum(x).alias(x) for x in ("s", "c", "r")])
 
 
 def _f1(p: Column, r: Column) -> Column:
