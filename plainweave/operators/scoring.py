@@ -64,7 +64,9 @@ def running_mean(scores: DataFrame, by: list[str], order: list[str]) -> DataFram
 
 
 def band(score: Column) -> Column:
-    """Name of the quality band; bounds belong to the band above them."""
+    """Name of the quality band; bounds belong to the band above them. Scores
+    are sums of fractions: nine digits make one that amounts to 50 be 50."""
+    score = F.round(score, 9)
     out = F.when(score < QUALITY_BANDS[1][0], QUALITY_BANDS[0][1])
     for (_, name), (upper, _) in zip(QUALITY_BANDS[1:], QUALITY_BANDS[2:], strict=False):
         out = out.when(score < upper, name)

@@ -551,9 +551,9 @@ SELECT run_id, model, conv_id, turn, round(sari, 6) AS sari,
 FROM log WINDOW w AS (PARTITION BY run_id, model ORDER BY conv_id, turn
                       ROWS UNBOUNDED PRECEDING)""",
     "quality_bands": f"""WITH {SCORED}
-SELECT model, CASE WHEN sari < 30 THEN 'poor' WHEN sari < 50 THEN 'below average'
-  WHEN sari < 70 THEN 'average' WHEN sari < 85 THEN 'good' ELSE 'excellent' END AS band,
-  count(*) AS rows FROM log GROUP BY 1, 2""",
+SELECT model, CASE WHEN round(sari, 9) < 30 THEN 'poor' WHEN round(sari, 9) < 50 THEN 'below average'
+  WHEN round(sari, 9) < 70 THEN 'average' WHEN round(sari, 9) < 85 THEN 'good'
+  ELSE 'excellent' END AS band, count(*) AS rows FROM log GROUP BY 1, 2""",
     "simplicity_metrics": f"""WITH {DOCS},
 m AS (SELECT doc_id, prompt, result, {words("result")} AS w, {sentences("result")} AS s FROM docs)
 SELECT doc_id,
