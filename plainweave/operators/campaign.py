@@ -190,6 +190,27 @@ def comparison_document(summaries: DataFrame, config: dict, timestamp: Column) -
     )
 
 
+def run_documents(summaries: DataFrame) -> DataFrame:
+    """One JSON text per run: model -> record, and an entry run_metadata."""
+    drop = ("run_id", "seed", "model")
+    fields = [c for c in summaries.columns if c not in drop]
+    types = dict(summaries.dtypes)
+
+    def entry(name: Column, filled: list[str]) -> Column:
+        # absent fields are null, which JSON output leaves out
+        def value(c: str) -> Column:
+            return (F.col(c) if c in filled else F.lit(None).cast(types[c])).alias(c)
+
+        return F.struct(
+            name.alias("key"), F.struct(*[value(c) for c in ["run_id", "seed", *fields]]).alias("value")
+        )
+
+    records = F.collect_list(entry(F.col("model"), fields))
+    meta = F.max(entry(F.lit("run_metadata"), ["run_id", "seed", "num_samples"]))
+    entries = F.concat(F.array_sort(records), F.array(meta))
+    return summaries.groupBy("run_id").agg(F.to_json(F.map_from_entries(entries)).alias("value"))
+
+
 def compare_campaigns(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     """Differences b - a of matching runs and models."""
     keys = ["model", "run_id"]

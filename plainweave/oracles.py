@@ -600,7 +600,10 @@ SELECT rank() OVER (ORDER BY mean_of_means DESC)::INT AS rank, model,
   printf('- **95%% CI**: [%.2f, %.2f]', mean_of_means - half, mean_of_means + half) AS ci_line
 FROM aggregate""",
     "results_json": f"""WITH {SUMMARY}
-SELECT run_id, seed, model, model_type, {rounded(*STATS, *SPEED)} FROM summary""",
+SELECT run_id, seed, model, model_type, num_samples, {rounded(*STATS, *SPEED)} FROM summary""",
+    "run_summaries": f"""WITH {SUMMARY}
+SELECT run_id::BIGINT AS run_id, seed::BIGINT AS seed, model, model_type, num_samples,
+       {rounded(*STATS, *SPEED)} FROM summary""",
     "comparison_document": f"""WITH {SUMMARY}
 SELECT model, model_type, 42::BIGINT AS seed, TIMESTAMP '2024-01-31 12:34:56' AS evaluated_at,
   string_agg(model, ',') OVER (ORDER BY sari_mean DESC, model

@@ -576,7 +576,16 @@ def results_json(spark: SparkSession, sf: str) -> DataFrame:
     summary = _round(_summary(spark, sf), *SUMMARY, *SPEED)
     record = F.to_json(F.struct(*summary.columns))
     parsed = F.from_json(record, summary.schema)
-    return summary.select(parsed.alias("r")).select("r.*").drop("num_samples")
+    return summary.select(parsed.alias("r")).select("r.*")
+
+
+def run_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """One document per run written, and all of them read back by run and model."""
+    path = new_path(spark)
+    writers.write_run_documents(campaign.run_documents(_summary(spark, sf)), path)
+    back = readers.read_run_summaries(spark, path)
+    columns = ["run_id", "seed", "model", "model_type", "num_samples", *SUMMARY, *SPEED]
+    return _round(back.select(*columns), *SUMMARY, *SPEED)
 
 
 def comparison_document(spark: SparkSession, sf: str) -> DataFrame:
@@ -672,7 +681,7 @@ QUERIES = {
         sari_documents, score_join, tier_scores, tier_scores_published, score_summary,
         document_score_summary, throughput, running_mean, quality_bands, simplicity_metrics,
         evaluation_grid, resume_anti, multi_run, model_ranking, ranking_list, best_model,
-        pairwise_models, pareto_models, summary_lines, results_json, comparison_document,
+        pairwise_models, pareto_models, summary_lines, results_json, run_summaries, comparison_document,
         campaign_compare, timestamp_label,
         predict_batches, stream_format, stream_log,
     )

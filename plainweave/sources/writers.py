@@ -35,10 +35,15 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Run summaries and comparison documents."""
+    """Comparison documents."""
     df.write.mode("overwrite").json(path)
 
 
+def write_run_documents(documents: DataFrame, path: str) -> None:
+    """One file per run, in a folder of its own."""
+    documents.repartition("run_id").write.partitionBy("run_id").mode("overwrite").text(path)
+
+
 def write_summary(lines: DataFrame, path: str) -> None:
     """Markdown: one section per model from the columns of summary_lines."""
     text = F.concat_ws(
