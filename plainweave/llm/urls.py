@@ -122,7 +122,8 @@ def _ratios(counts: DataFrame) -> DataFrame:
 
 def threshold(scores: DataFrame) -> int | None:
     """Lowest score to accept: where the shares of accepted URLs kept and of
-    rejected URLs dropped add up to most. Null if there is none of either."""
+    rejected URLs dropped add up to most, midway between the scores on either
+    side. Null if there is none of either."""
     placed = F.greatest(F.lit(-TOP), F.least(F.lit(TOP), F.floor(F.col("held_out") / BIN)))
     counted = scores.where("verdict is not null").groupBy(placed.alias("bin")).agg(
         F.sum(F.when(F.col("verdict") == "allow", F.col("copies")).otherwise(0)).alias("a"),
@@ -133,12 +134,13 @@ def threshold(scores: DataFrame) -> int | None:
     if not accepted or not rejected:
         return None
     best, at, kept, dropped = -1, None, accepted, 0
+    before = bins[0][0]
     for place, a, r in bins:
         good = kept * rejected + dropped * accepted
         if good > best:
-            best, at = good, place
-        kept, dropped = kept - a, dropped + r
-    return int(at) * BIN
+            best, at = good, (before + place) * BIN // 2
+        kept, dropped, before = kept - a, dropped + r, place
+    return at
 
 
 def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFrame:
