@@ -90,7 +90,8 @@ T_CRITICAL_95 = [
     2.059538552753294, 2.055529438642871, 2.0518305164802833, 2.048407141795244,
     2.045229642132703, 2.0422724563012373,
 ]
-NORMAL_95 = 1.96  # above 30 degrees of freedom, and as the verdict threshold
+NORMAL_95 = 1.96  # the verdict threshold
+NORMAL_975 = 1.959963984540054  # the quantile that Student t tends to
 
 # Lower bound (inclusive) of each quality band.
 QUALITY_BANDS = [

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from plainweave.functions.fixed import NORMAL_95, T_CRITICAL_95
+from plainweave.functions.fixed import NORMAL_95, NORMAL_975, T_CRITICAL_95
 from plainweave.operators.sampling import sample_conditions
 
 
@@ -66,11 +66,19 @@ def resume(plan: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def t_critical(df: Column) -> Column:
-    """Two-sided 95% Student t; normal above the table, null below one."""
+    """Two-sided 95% Student t, null below one degree of freedom; above the
+    table by the expansion in 1/df, which is exact to five digits there."""
     values = F.array(*[F.lit(t) for t in T_CRITICAL_95])
+    z = NORMAL_975
+    expanded = (
+        F.lit(z)
+        + F.lit((z**3 + z) / 4) / df
+        + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / (df * df)
+        + F.lit((3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384) / (df * df * df)
+    )
     return F.when(
         df.between(1, len(T_CRITICAL_95)), F.get(values, (df - 1).cast("int"))
-    ).when(df > len(T_CRITICAL_95), F.lit(NORMAL_95))
+    ).when(df > len(T_CRITICAL_95), expanded)
 
 
 def multi_run(summaries: DataFrame) -> DataFrame:
@@ -109,8 +117,10 @@ def ranking_list(summaries: DataFrame, by: list[str] = (), score: str = "sari_me
 
 
 def best_model(summaries: DataFrame, by: list[str] = (), score: str = "sari_mean") -> DataFrame:
+    """Equal scores go by name; a model without a score comes last."""
+    place = F.struct(F.col(score).isNull(), -F.col(score), F.col("model"))
     return summaries.groupBy(*by).agg(
-        F.max_by("model", score).alias("best_model"), F.max(score).alias(score)
+        F.min_by("model", place).alias("best_model"), F.max(score).alias(score)
     )
 
 

@@ -21,7 +21,8 @@ def predict(
     ``factory(**settings)`` runs once per task, as loading a model is dear, and
     returns a function from a list of texts to a list of answers. Rows of an
     Arrow batch are handed over shortest first, so that a model which pads its
-    batch pads little. Partition the input for the number of devices.
+    batch pads little. Partition the input for the number of devices. A null
+    text is not put to the model and has a null answer.
     """
     chosen = {**GREEDY, **(settings or {})}
     kept = [f for f in df.schema.fields if f.name != name]
@@ -30,12 +31,12 @@ def predict(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory(**chosen)
         for frame in frames:
-            order = frame[text].str.len().sort_values(kind="stable").index
+            order = frame[text].dropna().str.len().sort_values(kind="stable").index
             answers = pd.Series(index=frame.index, dtype=object)
             for at in range(0, len(order), batch_size):
                 rows = order[at : at + batch_size]
                 given = model(list(frame.loc[rows, text]))
-                answers.loc[rows] = [a.strip() for a in given]
+                answers.loc[rows] = [a if a is None else a.strip() for a in given]
             frame[name] = answers
             yield frame[[f.name for f in schema.fields]]
 

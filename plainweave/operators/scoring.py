@@ -49,8 +49,8 @@ def throughput(df: DataFrame, by: list[str], seconds: Column, units: Column) ->
     return df.groupBy(*by).agg(
         F.count(seconds).alias("num_samples"),
         F.sum(seconds).alias("total_time"),
-        (F.sum(seconds) / F.count(seconds)).alias("avg_generation_time"),
-        (F.sum(units) / F.sum(seconds)).alias("tokens_per_second"),
+        F.try_divide(F.sum(seconds), F.count(seconds)).alias("avg_generation_time"),
+        F.try_divide(F.sum(units), F.sum(seconds)).alias("tokens_per_second"),
     )
 
 
@@ -65,12 +65,13 @@ def running_mean(scores: DataFrame, by: list[str], order: list[str]) -> DataFram
 
 def band(score: Column) -> Column:
     """Name of the quality band; bounds belong to the band above them. Scores
-    are sums of fractions: nine digits make one that amounts to 50 be 50."""
+    are sums of fractions: nine digits make one that amounts to 50 be 50. A
+    missing score has no band."""
     score = F.round(score, 9)
     out = F.when(score < QUALITY_BANDS[1][0], QUALITY_BANDS[0][1])
     for (_, name), (upper, _) in zip(QUALITY_BANDS[1:], QUALITY_BANDS[2:], strict=False):
         out = out.when(score < upper, name)
-    return out.otherwise(QUALITY_BANDS[-1][1])
+    return out.when(score.isNotNull(), QUALITY_BANDS[-1][1])
 
 
 def quality_bands(scores: DataFrame, by: list[str]) -> DataFrame:
