@@ -30,16 +30,18 @@ def exclude_toxic(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return df.join(toxic, key, "left_anti")
 
 
-def drop_duplicates(df: DataFrame, texts: list[str], key: str) -> DataFrame:
-    """Keep the row with the lowest key of each group of equal texts.
+def drop_duplicates(df: DataFrame, texts: list[str], key: str | list[str]) -> DataFrame:
+    """Keep the row with the lowest key, of one column or several, of each group
+    of equal texts.
 
     Copies are reduced to (digest, lowest key) inside each task before anything
     moves, so neither the texts nor a large group of copies are shuffled; the
     kept keys then select the full rows.
     """
     joined = F.to_json(F.array(*[F.col(t) for t in texts]))
-    kept = df.groupBy(F.sha2(joined, 256).alias("_digest")).agg(F.min(key).alias(key))
-    return df.join(kept.select(key), key, "left_semi")
+    keys = [key] if isinstance(key, str) else list(key)
+    kept = df.groupBy(F.sha2(joined, 256).alias("_digest")).agg(F.min(F.struct(*keys)).alias("_key"))
+    return df.join(kept.select("_key.*"), keys, "left_semi")
 
 
 def difference(prompt: Column, result: Column) -> Column:

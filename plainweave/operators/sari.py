@@ -95,7 +95,8 @@ def sari(
     df: DataFrame, keys: list[str], source: str = "source", prediction: str = "prediction",
     references: str = "references", max_n: int = MAX_N, partitions: int | None = None,
 ) -> DataFrame:
-    """SARI of every row; ``references`` is an array of texts.
+    """SARI of every row; ``references`` is an array of texts. A row without a
+    reference, or with a null among its texts, has null scores.
 
     The texts are hash-partitioned by key once, into a fixed number of parts:
     sized by their texts alone, adaptive execution would merge them although the
@@ -108,9 +109,22 @@ def sari(
             int(spark.conf.get("spark.sql.shuffle.partitions")),
             PARTS_PER_CORE * spark.sparkContext.defaultParallelism,
         )
-    texts = df.select(*keys, source, prediction, references).repartition(partitions, *keys)
-    counts = ngram_counts(texts, keys, source, prediction, references, max_n)
-    return sari_from_counts(counts, keys, max_n)
+    whole = (
+        F.col(source).isNotNull() & F.col(prediction).isNotNull()
+        & F.coalesce(F.size(references) > 0, F.lit(False))
+        & ~F.coalesce(F.exists(references, lambda r: r.isNull()), F.lit(True))
+    )
+    texts = df.select(
+        *keys, whole.alias("_whole"),
+        F.when(whole, F.col(source)).otherwise("").alias(source),
+        F.when(whole, F.col(prediction)).otherwise("").alias(prediction),
+        F.when(whole, F.col(references)).otherwise(F.array(F.lit(""))).alias(references),
+    ).repartition(partitions, *keys)
+    carried = [*keys, "_whole"]
+    counts = ngram_counts(texts, carried, source, prediction, references, max_n)
+    scored = sari_from_counts(counts, carried, max_n)
+    parts = [c for c in scored.columns if c not in carried]
+    return scored.select(*keys, *[F.when(F.col("_whole"), F.col(c)).alias(c) for c in parts])
 
 
 METRICS = {"sari": sari}

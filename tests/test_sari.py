@@ -93,3 +93,20 @@ def test_metric_by_name():
     assert metric("sari") is sari
     with pytest.raises(KeyError):
         metric("other")
+
+
+def test_incomplete_rows_have_null_scores(spark):
+    from plainweave.operators.corpus import drop_duplicates
+    from plainweave.operators.sari import sari
+
+    rows = [
+        (1, "a b c", "a b", ["a b"]), (2, None, "a", ["a"]), (3, "a", None, ["a"]), (4, "a", "a", []),
+        (5, "a", "a", None), (6, "a", "a", ["a", None]), (7, "", "", [""]),
+    ]
+    schema = "k int, source string, prediction string, references array<string>"
+    got = {r["k"]: r["sari"] for r in sari(spark.createDataFrame(rows, schema), ["k"]).collect()}
+    assert {k for k, v in got.items() if v is None} == {2, 3, 4, 5, 6}
+    assert got[1] == 100 and got[7] is not None
+    pairs = spark.createDataFrame([(2, 1, "x"), (1, 5, "x"), (1, 4, "x"), (9, 9, "y")], "a int, b int, t string")
+    kept = drop_duplicates(pairs, ["t"], ["a", "b"]).collect()
+    assert sorted((r["a"], r["b"]) for r in kept) == [(1, 4), (9, 9)]
