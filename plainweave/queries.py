@@ -173,10 +173,11 @@ def baseline_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def last_turn(spark: SparkSession, sf: str) -> DataFrame:
-    """Last turn of every conversation; a long one is reduced before it moves."""
-    last = F.max_by(F.struct("role", "text"), "turn")
-    ends = table(spark, sf, "conversations").groupBy("conv_id").agg(last.alias("x"))
-    return ends.select("conv_id", "x.role", F.col("x.text").alias("content"))
+    """Last turn of every conversation: numbers are aggregated, texts joined to
+    them, so that no text is sorted."""
+    turns = table(spark, sf, "conversations")
+    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    return turns.join(ends, PAIR_KEYS).select("conv_id", "role", F.col("text").alias("content"))
 
 
 def answer_content(spark: SparkSession, sf: str) -> DataFrame:
