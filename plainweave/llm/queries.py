@@ -12,7 +12,7 @@ from plainweave.sources.tables import table
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 PSEUDONYM_KEY = b"replace by a secret of your own"
 URL_RULES = [
-    ("allow", "org/"), ("block", "example.org/es/"), ("allow", "example.org/en/1"), ("allow", "com/fr/"),
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
     ("block", "com/de/"),
 ]
 # a tree of files over the documents: every tenth is its directory's licence file

@@ -65,7 +65,7 @@ def test_odd_licences(spark, odd):
 def test_odd_urls(spark, odd):
     got = {r["page_id"]: r for r in compare(spark, "op3_url_filters", odd)}
     assert (got[4]["host"], got[4]["path"], got[4]["rule"]) == ("example.org", "", None)
-    assert (got[5]["rule"], got[5]["verdict"]) == ("example.org/en/1", "allow")
+    assert (got[5]["rule"], got[5]["verdict"]) == ("example.org/en/1", "block")
     assert (got[6]["rule"], got[6]["verdict"]) == ("example.org/es/", "block")
     assert got[7]["rule"] == "org/" and got[10]["rule"] is None and got[8]["rule"] == "com/fr/"
     assert got[0]["host"] == "" and got[0]["verdict"] == "allow" and got[0]["score"] is None
