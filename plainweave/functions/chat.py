@@ -19,6 +19,9 @@ from plainweave.functions.fixed import (
 from plainweave.functions.hashing import choice, uniform
 
 
+PAIRS = "array<struct<prompt:string,result:string>>"
+
+
 def turn(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
@@ -80,7 +83,9 @@ def render(messages: Column, template: str = "role_tags", answer: bool = False)
             F.lit(t["open"]), m["role"], F.lit(t["mid"]), m["content"], F.lit(t["close"])
         ),
     )
-    parts = [F.lit(t["begin"]), F.array_join(shown, t["between"])]
+    # array_join leaves nulls out: a turn without role or text makes the whole null
+    whole = F.when(~F.exists(shown, lambda s: s.isNull()), F.array_join(shown, t["between"]))
+    parts = [F.lit(t["begin"]), whole]
     if answer:
         parts.append(F.lit(t["between"] + t["open"] + "assistant" + t["mid"]))
     return F.concat(*parts)
@@ -134,8 +139,8 @@ def formatter_lists(template: str = "role_tags", system: str | None = None):
 
 
 def zip_lists(prompts: Column, results: Column) -> Column:
-    """Pairs of two lists, as long as the shorter one (arrays_zip pads)."""
-    n = F.least(F.size(prompts), F.size(results))
-    return F.arrays_zip(
-        F.slice(prompts, 1, n).alias("prompt"), F.slice(results, 1, n).alias("result")
-    )
+    """Pairs of two lists of equal length; other lists fail, as a pair would
+    lack a side. Null where a list is."""
+    pairs = F.arrays_zip(prompts.alias("prompt"), results.alias("result"))
+    unequal = F.raise_error(F.lit("lists of unequal length cannot be paired"))
+    return F.when(F.size(prompts) != F.size(results), unequal.cast(PAIRS)).otherwise(pairs)

@@ -183,18 +183,35 @@ def summary_lines(aggregate: DataFrame) -> DataFrame:
     )
 
 
+def speed_lines(summaries: DataFrame) -> DataFrame:
+    """Report lines on the speed of every run and model; null without a time."""
+    return summaries.select(
+        "run_id",
+        "model",
+        F.when(
+            F.col("avg_generation_time").isNotNull(),
+            F.format_string(
+                "%s: %.3f s per sample, %.3f s in all, %.2f per second, %,d samples",
+                "model", "avg_generation_time", "total_time", "tokens_per_second", "num_samples",
+            ),
+        ).alias("speed_line"),
+    )
+
+
 def comparison_document(summaries: DataFrame, config: dict, timestamp: Column) -> DataFrame:
-    """One row: time label, configuration, model -> record, and the ranking."""
-    fields = [F.col(c) for c in summaries.columns if c != "model"]
+    """One row per run: time label, configuration with the run and its seed,
+    model -> record, and the ranking."""
+    fields = [F.col(c) for c in summaries.columns if c not in ("model", "run_id", "seed")]
     record = F.struct(F.col("model").alias("model_name"), *fields)
     entries = F.collect_list(F.struct("model", record))
     order = F.array_sort(F.collect_list(F.struct((-F.col("sari_mean")).alias("s"), "model")))
-    return summaries.agg(
+    own = ["run_id", "seed"]
+    return summaries.groupBy(*own).agg(
         F.map_from_entries(F.array_sort(entries)).alias("results"),
         F.transform(order, lambda e: e["model"]).alias("ranking"),
     ).select(
         F.date_format(timestamp, "yyyyMMdd_HHmmss").alias("timestamp"),
-        F.struct(*[F.lit(v).alias(k) for k, v in config.items()]).alias("configuration"),
+        F.struct(*own, *[F.lit(v).alias(k) for k, v in config.items() if k not in own]).alias("configuration"),
         "results",
         "ranking",
     )

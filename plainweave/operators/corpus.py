@@ -24,6 +24,12 @@ def split_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def split_examples(df: DataFrame, order: list[str]) -> DataFrame:
+    """The first complete row of every split, as its example."""
+    first = F.min_by(F.struct("prompt", "result"), F.struct(*order))
+    return complete(df).groupBy("split").agg(first.alias("example")).select("split", "example.*")
+
+
 def exclude_toxic(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Drop rows labelled toxic; rows without a label stay."""
     toxic = labels.where(F.col("toxic") == 1).select(key)

@@ -41,6 +41,27 @@ def _block(size: int) -> Column:
     return F.floor(F.col("row_id") / F.lit(size))
 
 
+def _nth(
+    spark: SparkSession, probabilities: list[float], seed: int, source: int, k: int, lo: int, hi: int
+) -> int:
+    """The position from lo on at which the source is drawn for the k-th time:
+    the range is cut by counts until one small block is left to rank."""
+    while hi - lo > MIN_BLOCK:
+        size = max(MIN_BLOCK, math.ceil((hi - lo) / MAX_BLOCKS))
+        before = F.col("_upto") - F.col("_n")
+        hit = (
+            _blocks(_draws(spark, probabilities, seed, lo, hi), size)
+            .where((F.col("source") == source) & (before < k) & (F.col("_upto") >= k))
+            .select("block", (F.lit(k) - before).alias("k"))
+            .first()
+        )
+        k, start = hit["k"], hit["block"] * size
+        lo, hi = max(lo, start), min(hi, start + size)
+    draws = _draws(spark, probabilities, seed, lo, hi).where(F.col("source") == source)
+    rank = F.row_number().over(W.orderBy("row_id"))  # one block
+    return draws.withColumn("k", rank).where(F.col("k") == k).first()["row_id"]
+
+
 def _last_position(
     spark: SparkSession, sizes: list[int], probabilities: list[float], seed: int
 ) -> tuple[int, int]:
@@ -69,10 +90,7 @@ def _last_position(
     ends = []
     for hit in hits:
         lo = hit["block"] * size
-        draws = _draws(spark, probabilities, seed, lo, min(lo + size, length))
-        rank = F.row_number().over(W.orderBy("row_id"))  # one block
-        at = draws.where(F.col("source") == hit["source"]).withColumn("k", rank)
-        ends.append(at.where(F.col("k") == hit["k"]).first()["row_id"])
+        ends.append(_nth(spark, probabilities, seed, hit["source"], hit["k"], lo, min(lo + size, length)))
     return max(ends), size
 
 

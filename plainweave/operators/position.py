@@ -19,19 +19,40 @@ from pyspark.sql.window import Window as W
 from plainweave.functions.hashing import bucket, order_key, row_key
 from plainweave.operators.staging import stage
 
-# Up to here a "first n per group" runs as a window whose limit Spark applies
-# in every task before the shuffle; beyond it the ranges do the work.
-GROUP_LIMIT = 1000
+RANGE_ROWS = 4_000_000  # rows a range holds at most, about
+
+
+def _of(within: list[str]) -> Column:
+    """The group as one value that is never null, so that rows without a group
+    join as a group of their own."""
+    return F.struct(*within) if within else F.lit(0)
+
+
+def join_groups(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Left join on group columns where null equals null."""
+    rest = [c for c in right.columns if c not in by]
+    keyed = right.select(_of(by).alias("_of"), *rest)
+    return left.withColumn("_of", _of(by)).join(keyed, "_of", "left").drop("_of")
+
+
+def range_number(rows: int, setting: int, per_range: int) -> int:
+    """Ranges for so many rows; never fewer than the session's partitions."""
+    return max(setting, -(-rows // per_range))
 
 
 def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
-    """Sorted ranges with columns _range and _at (0-based within the range).
+    """Sorted ranges with columns _range and _at (0-based within the range),
+    and _id, which rises through both.
 
     Range borders come from a sample and may differ between two runs of the
     same plan, so the numbered rows are written before anything counts them.
     """
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = range_number(df.count(), setting, RANGE_ROWS)
+    # within the setting, adaptive execution may merge small ranges
+    parts = [wanted] if wanted > setting else []
     numbered = (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -39,7 +60,7 @@ def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
         "*",
         F.shiftright("_id", 33).alias("_range"),
         F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"),
-    ).drop("_id")
+    )
 
 
 def with_position(
@@ -52,13 +73,13 @@ def with_position(
     group may be as large as it likes, because ranges cut through groups.
     """
     within = list(within)
-    ranged = in_ranges(df, within + order)
-    group = ["_range", *within]
+    ranged = in_ranges(df, within + order).withColumn("_of", _of(within))
+    group = ["_range", "_of"]
     # one row per range and group, so a group in several ranges has several rows
     starts = ranged.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
     )
-    upto = W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
+    upto = W.partitionBy("_of").orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
     offsets = starts.select(
         *group, (F.sum("_n").over(upto) - F.col("_n") - F.col("_first")).alias("_offset")
     )
@@ -76,13 +97,13 @@ def running(
     """Running sums in key order: ``sums`` maps new column to summed column.
     ``total`` names a column for the group's whole sum of the first of them."""
     within = list(within)
-    ranged = in_ranges(df, within + order)
-    group = ["_range", *within]
+    ranged = in_ranges(df, within + order).withColumn("_of", _of(within))
+    group = ["_range", "_of"]
     totals = ranged.groupBy(*group).agg(*[F.sum(c).alias(f"_sum_{o}") for o, c in sums.items()])
     # one row per range and group; a group's rows here are at most the ranges
-    earlier = W.partitionBy(*within).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_of").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     whole = [] if total is None else [
-        F.sum(f"_sum_{next(iter(sums))}").over(W.partitionBy(*within)).alias(total)
+        F.sum(f"_sum_{next(iter(sums))}").over(W.partitionBy("_of")).alias(total)
     ]
     before = totals.select(
         *group, *[F.sum(f"_sum_{o}").over(earlier).alias(f"_before_{o}") for o in sums], *whole
@@ -119,11 +140,11 @@ def hash_position(
     rows per group.
     """
     within = list(within)
-    keyed = df.withColumn("_order", order_key(seed, purpose, keys)).withColumn(
-        "_bucket", bucket(F.col("_order"))
+    keyed = df.withColumn("_order", order_key(seed, purpose, keys)).withColumns(
+        {"_bucket": bucket(F.col("_order")), "_of": _of(within)}
     )
-    group = [*within, "_bucket"]
-    earlier = W.partitionBy(*within).orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
+    group = ["_of", "_bucket"]
+    earlier = W.partitionBy("_of").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
     before = (
         keyed.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -202,8 +223,8 @@ def hash_cut(
     group: str | None = None,
 ) -> Column:
     """Predicate true for exactly the first ``sizes[g]`` rows of each group in
-    seeded order (all rows where a group has no more, or is not listed). Without
-    a group column the only group is "all".
+    seeded order (all rows where a group has no more, or is not listed, or null).
+    Without a group column the only group is "all".
 
     A size given as float is a share of the group's rows. Only the row at the
     border is looked for; the wide rows are then kept or dropped one by one,
@@ -215,7 +236,7 @@ def hash_cut(
     keep = F.lit(True)
     for name, border in _borders(keyed, sizes).items():
         ok = _not_behind(order, keys, border)
-        keep = keep & (ok if group is None else (g != name) | ok)
+        keep = keep & (ok if group is None else ~g.eqNullSafe(F.lit(name)) | ok)
     return keep
 
 
@@ -242,22 +263,31 @@ def keys_at(df: DataFrame, order: list[str], ranks: dict, group: str | None = No
     """Key values at given 0-based positions: {(group, rank): Row of keys}.
 
     ``ranks`` maps a group (or "all") to its wanted positions; the answer has
-    one row per wanted position, so it is small by construction.
+    one row per wanted position, so it is small by construction. Counts per
+    range say where each position is; only the rows there are then read.
     """
     g = F.lit("all") if group is None else F.col(group)
     narrow = df.select(g.alias("_group"), *order).where(F.col("_group").isin(list(ranks)))
-    if max(r for rs in ranks.values() for r in rs) < GROUP_LIMIT:
-        high = max(r for rs in ranks.values() for r in rs) + 1
-        rank = F.row_number().over(W.partitionBy("_group").orderBy(*order))
-        first = narrow.withColumn("_rank", rank).where(F.col("_rank") <= high)
-        placed = first.withColumn("position", F.col("_rank") - 1)
-    else:
-        placed = with_position(narrow, order, ["_group"])
-    hit = None
-    for name, rs in ranks.items():
-        at = (F.col("_group") == name) & F.col("position").isin([int(r) for r in rs])
-        hit = at if hit is None else hit | at
-    return {(r["_group"], r["position"]): r for r in placed.where(hit).collect()}
+    ranged = in_ranges(narrow, ["_group", *order])
+    upto = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
+    wanted = F.create_map(
+        *[x for name, rs in ranks.items() for x in (F.lit(name), F.array(*[F.lit(int(r)) for r in rs]))]
+    )
+    before = F.col("_upto") - F.col("_n")
+    found = (
+        ranged.groupBy("_group", "_range")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+        .withColumn("_upto", F.sum("_n").over(upto))
+        .withColumn("position", F.explode(F.element_at(wanted, F.col("_group"))))
+        .where((before <= F.col("position")) & (F.col("position") < F.col("_upto")))
+        .select("_group", "position", (F.col("_first") + F.col("position") - before).alias("_id"))
+        .collect()
+    )
+    if not found:
+        return {}
+    at = {r["_id"]: (r["_group"], r["position"]) for r in found}
+    rows = ranged.where(F.col("_id").isin(list(at))).select("_id", *order).collect()
+    return {at[r["_id"]]: r for r in rows}
 
 
 def not_after(order: list[str], row) -> Column:

@@ -25,13 +25,14 @@ SPLITS = ["train", "val", "test"]
 def head_per_split(
     df: DataFrame, n: int, order: list[str], splits: list[str] = tuple(SPLITS)
 ) -> DataFrame:
-    """The first n rows of every split, or all of a smaller one."""
+    """The first n rows of every listed split, or all of a smaller one; other
+    rows, those without a split among them, stay."""
     if n < 1:
         return df.where(F.lit(False))
     last = keys_at(df, order, {s: [n - 1] for s in splits}, "split")
     keep = F.lit(True)
     for (split, _), row in last.items():
-        keep = keep & ((F.col("split") != split) | not_after(order, row))
+        keep = keep & (~F.col("split").eqNullSafe(F.lit(split)) | not_after(order, row))
     return df.where(keep)
 
 

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.functions.text import gram_rows, gram_stack, normal_tokens
+from plainweave.operators.staging import stage
 
 MAX_N = 4
-PARTS_PER_CORE = 4
+PART_BYTES = 16 << 20  # of text in a part; its n-grams take many times as much
 
 
 def ngrams(df: DataFrame, keys: list[str], toks: str, max_n: int = MAX_N) -> DataFrame:
@@ -91,6 +92,19 @@ def sari_from_counts(counts: DataFrame, keys: list[str], max_n: int = MAX_N) ->
     return scored.withColumn("sari", total)
 
 
+def part_number(size: int, setting: int, per_part: int = PART_BYTES) -> int:
+    """Parts for so many bytes of text; never fewer than the session's partitions."""
+    return max(setting, -(-size // per_part))
+
+
+def _bytes(df: DataFrame, source: str, prediction: str, references: str) -> int:
+    sizes = [F.octet_length(c) for c in (source, prediction)]
+    sizes.append(F.octet_length(F.array_join(references, "")))
+    return df.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(f"b{i}") for i, s in enumerate(sizes)]).select(
+        F.col("b0") + F.col("b1") + F.col("b2")
+    ).first()[0]
+
+
 def sari(
     df: DataFrame, keys: list[str], source: str = "source", prediction: str = "prediction",
     references: str = "references", max_n: int = MAX_N, partitions: int | None = None,
@@ -100,15 +114,13 @@ def sari(
 
     The texts are hash-partitioned by key once, into a fixed number of parts:
     sized by their texts alone, adaptive execution would merge them although the
-    n-grams are much larger. Several small parts per core keep a part's n-grams
-    in memory; aim at some 16 MB of text each, and more parts rather than fewer.
+    n-grams are much larger. Without ``partitions`` the texts are written first,
+    so that they are made once, and their bytes give the number.
     """
     if partitions is None:
-        spark = df.sparkSession
-        partitions = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            PARTS_PER_CORE * spark.sparkContext.defaultParallelism,
-        )
+        df = stage(df.select(*keys, source, prediction, references))
+        setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = part_number(_bytes(df, source, prediction, references), setting)
     whole = (
         F.col(source).isNotNull() & F.col(prediction).isNotNull()
         & F.coalesce(F.size(references) > 0, F.lit(False))

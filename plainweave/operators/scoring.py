@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.functions.fixed import QUALITY_BANDS
-from plainweave.operators.position import quantiles, running
+from plainweave.operators.position import join_groups, quantiles, running
 
 QUARTILES = {"sari_q25": 0.25, "sari_median": 0.5, "sari_q75": 0.75}
 
@@ -30,7 +30,8 @@ def tier_scores(scores: DataFrame) -> DataFrame:
 
 
 def score_summary(scores: DataFrame, by: list[str]) -> DataFrame:
-    """Count, mean, population deviation, extremes and exact quartiles.
+    """Count, mean, population deviation, extremes and exact quartiles of every
+    group; null is a group like others, one without any score has null values.
 
     Reads the scores twice: give it a written score log, not a scoring plan.
     """
@@ -41,7 +42,7 @@ def score_summary(scores: DataFrame, by: list[str]) -> DataFrame:
         F.min("sari").alias("sari_min"),
         F.max("sari").alias("sari_max"),
     )
-    return basic.join(quantiles(scores, by, "sari", QUARTILES), by)
+    return join_groups(basic, quantiles(scores, by, "sari", QUARTILES), by)
 
 
 def throughput(df: DataFrame, by: list[str], seconds: Column, units: Column) -> DataFrame:

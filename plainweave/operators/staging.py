@@ -7,9 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
-
-
+_written: dict[str, list[str]] = {}  # by application
 _local_root: list[str] = []
 
 
@@ -28,7 +26,7 @@ def stage_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession) -> str:
     path = f"{stage_root(spark).rstrip('/')}/plainweave/{uuid.uuid4().hex}"
-    _written.append(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
@@ -42,11 +40,11 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def release_stages(spark: SparkSession) -> int:
-    """Delete what this process staged, once its results have been written."""
+    """Delete what this session staged, once its results have been written."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for written in _written.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(written)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n

@@ -12,6 +12,7 @@ from plainweave.functions.fixed import (
     BASELINE_PROMPT,
     DEFAULT_INSTRUCTION,
     INSTRUCTIONS,
+    NORMAL_975,
     SYSTEM_PROMPT,
     T_CRITICAL_95,
     TASK_PREFIX,
@@ -257,7 +258,13 @@ def summary(source: str = "log", name: str = "summary") -> str:
   FROM {source} GROUP BY run_id, seed, model, model_type)"""
 
 
-SCORED = f"""{GRID},
+GRID_WHOLE = f"""{PAIRS},
+grid AS (
+  SELECT 1 AS run_id, 42 AS seed, model, model_type, use_system_prompt, conv_id, turn FROM pairs, {MODELS})"""
+
+
+def scored(grid: str) -> str:
+    return f"""{grid},
 inp AS (
   SELECT model, conv_id, turn, prompt AS source, [result] AS refs,
          CASE model WHEN 'identity' THEN prompt WHEN 'first_sentence' THEN {first_sentence("prompt")}
@@ -265,7 +272,10 @@ inp AS (
   FROM pairs, {MODELS}),
 {sari("inp", "model, conv_id, turn")},
 {log()}"""
-SUMMARY = f"{SCORED},\n{summary()}"
+
+
+SCORED, SCORED_WHOLE = scored(GRID), scored(GRID_WHOLE)
+SUMMARY, SUMMARY_WHOLE = f"{SCORED},\n{summary()}", f"{SCORED_WHOLE},\n{summary()}"
 STATS = ["sari_mean", "sari_std", "sari_min", "sari_max", "sari_q25", "sari_median", "sari_q75"]
 SPEED = ["total_time", "avg_generation_time", "tokens_per_second"]
 T_LIST = "[" + ", ".join(f"{t!r}::DOUBLE" for t in T_CRITICAL_95) + "]"
@@ -273,7 +283,7 @@ AGGREGATE = f"""{SUMMARY},
 agg AS (
   SELECT model, avg(sari_mean) AS mean_of_means, stddev_samp(sari_mean) AS std_of_means,
          avg(sari_std) AS mean_of_stds, count(*) AS num_runs,
-         string_agg(run_id || ':' || seed, ',' ORDER BY run_id) AS runs
+         string_agg(printf('%d:%d:%.4f:%.4f', run_id, seed, sari_mean, sari_std), ',' ORDER BY run_id) AS runs
   FROM summary GROUP BY model),
 aggregate AS (
   SELECT *, ({T_LIST})[num_runs - 1] * std_of_means / sqrt(num_runs) AS half FROM agg)"""
@@ -335,6 +345,29 @@ def header(role: str, content: str) -> str:
 
 USER = f"{lit(TASK_PREFIX)} || prompt"
 
+UNLABELLED = f"""{DOCS},
+u AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN split END AS split FROM docs)"""
+INCOMPLETE = f"""{PAIRS},
+inp AS (
+  SELECT conv_id, turn, CASE WHEN conv_id % 7 = 5 THEN '' ELSE prompt END AS source,
+         {first_sentence("prompt")} AS prediction, [result] AS refs
+  FROM pairs WHERE conv_id % 7 IN (5, 6)),
+{sari("inp", "conv_id, turn")}"""
+CALLED = f"""{PAIRS},
+inp AS (
+  SELECT 'lead' AS model, 'role_tags' AS model_type, conv_id, turn, prompt AS source, [result] AS refs,
+         {strip("'S ' || array_to_string(string_split(prompt, ' ')[1:20], ' ')")} AS prediction FROM pairs
+  UNION ALL
+  SELECT 'tail', 'chatml', conv_id, turn, prompt, [result],
+         {strip("array_to_string(string_split(prompt, ' ')[6:], ' ')")} FROM pairs),
+{sari("inp", "model, conv_id, turn")}"""
+Z = repr(NORMAL_975) + "::DOUBLE"
+T_ANY = f"""CASE WHEN num_runs <= 31 THEN ({T_LIST})[num_runs - 1] ELSE {Z}
+  + ({Z} ** 3 + {Z}) / 4 / (num_runs - 1)
+  + (5 * {Z} ** 5 + 16 * {Z} ** 3 + 3 * {Z}) / 96 / (num_runs - 1) ** 2
+  + (3 * {Z} ** 7 + 19 * {Z} ** 5 + 17 * {Z} ** 3 - 15 * {Z}) / 384 / (num_runs - 1) ** 3 END"""
+
+
 ORACLES: dict[str, str] = {
     "pairs_scan": f"WITH {PAIRS} SELECT * FROM pairs",
     "split_scan": f"WITH {PAIRS} SELECT * FROM pairs WHERE split = 'val'",
@@ -391,10 +424,9 @@ SELECT model, conv_id, turn, CASE model
 FROM pairs, {MODELS}""",
     "row_index": f"""WITH {PAIRS}
 SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS row_id FROM pairs""",
-    "zip_lists": f"""WITH l AS (SELECT doc_id, {sentences("text")} AS a,
-             string_split(text, chr(10)) AS b FROM documents),
-z AS (SELECT doc_id, list_transform(generate_series(1, least(len(a), len(b))),
-             lambda i: {{'prompt': a[i], 'result': b[i]}}) AS p FROM l)
+    "zip_lists": f"""WITH z AS (
+  SELECT doc_id, list_transform(string_split(text, chr(10)),
+           lambda x: {{'prompt': x, 'result': {first_sentence("x")}}}) AS p FROM documents)
 SELECT doc_id, to_json(p)::VARCHAR AS pairs, coalesce(array_to_string(list_transform(p, lambda x:
   {chatml(("system", "'S'"), ("user", f"{lit(TASK_PREFIX)} || x.prompt"), ("assistant", "x.result"))}),
   chr(10)), '') AS formatted FROM z""",
@@ -530,7 +562,7 @@ a AS (SELECT tier, early, sari FROM tiers JOIN sari_scores USING (conv_id, turn)
 s AS (SELECT tier, sari FROM a WHERE early UNION ALL SELECT 'hard', sari FROM a WHERE early)
 SELECT tier, round(avg(sari), 6) AS sari_mean, count(*) AS num_samples FROM s GROUP BY tier
 UNION ALL SELECT 'total', round(avg(sari), 6), count(*) FROM s""",
-    "score_summary": f"""WITH {SUMMARY}
+    "score_summary": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, seed, model, model_type, num_samples, {rounded(*STATS, *SPEED)} FROM summary""",
     "document_score_summary": f"""WITH {DOC_SARI},
 j AS (SELECT lang, round(sari, 9) AS sari FROM sari_scores JOIN inp USING (doc_id)),
@@ -545,12 +577,12 @@ s AS (SELECT model, count(*) AS num_samples, sum(value) AS total_time,
              sum(value) / count(*) AS avg_generation_time,
              sum(k)::DOUBLE / sum(value) AS tokens_per_second FROM u GROUP BY model)
 SELECT model, num_samples, {rounded(*SPEED)} FROM s""",
-    "running_mean": f"""WITH {SCORED}
+    "running_mean": f"""WITH {SCORED_WHOLE}
 SELECT run_id, model, conv_id, turn, round(sari, 6) AS sari,
        row_number() OVER w AS scored, round(sum(sari) OVER w / row_number() OVER w, 6) AS running_mean
 FROM log WINDOW w AS (PARTITION BY run_id, model ORDER BY conv_id, turn
                       ROWS UNBOUNDED PRECEDING)""",
-    "quality_bands": f"""WITH {SCORED}
+    "quality_bands": f"""WITH {SCORED_WHOLE}
 SELECT model, CASE WHEN round(sari, 9) < 30 THEN 'poor' WHEN round(sari, 9) < 50 THEN 'below average'
   WHEN round(sari, 9) < 70 THEN 'average' WHEN round(sari, 9) < 85 THEN 'good'
   ELSE 'excellent' END AS band, count(*) AS rows FROM log GROUP BY 1, 2""",
@@ -568,16 +600,16 @@ SELECT run_id, model, conv_id, turn FROM grid WHERE run_id <> 1 AND model <> 'id
 o AS (SELECT *, mean_of_means - half AS ci_low, mean_of_means + half AS ci_high FROM aggregate)
 SELECT model, {rounded("mean_of_means", "std_of_means", "mean_of_stds", "ci_low", "ci_high")},
        num_runs, runs FROM o""",
-    "model_ranking": f"""WITH {SUMMARY}
+    "model_ranking": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, model, rank() OVER (PARTITION BY run_id ORDER BY sari_mean DESC)::INT AS rank,
        round(sari_mean, 6) AS sari_mean FROM summary""",
-    "ranking_list": f"""WITH {SUMMARY}
+    "ranking_list": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, string_agg(model, ',' ORDER BY sari_mean DESC, model) AS ranking
 FROM summary GROUP BY run_id""",
-    "best_model": f"""WITH {SUMMARY}
+    "best_model": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, model AS best_model, round(sari_mean, 6) AS sari_mean FROM summary
-QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY sari_mean DESC) = 1""",
-    "pairwise_models": f"""WITH {SUMMARY},
+QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY sari_mean DESC, model) = 1""",
+    "pairwise_models": f"""WITH {SUMMARY_WHOLE},
 r AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY sari_mean DESC, model) AS rank
       FROM summary),
 c AS (SELECT b.run_id, b.model AS best, o.model AS other, o.rank,
@@ -588,7 +620,7 @@ c AS (SELECT b.run_id, b.model AS best, o.model AS other, o.rank,
 SELECT run_id, best, other, rank::INT AS rank, {rounded("difference", "t")},
        CASE WHEN abs(t) > 1.96 THEN 'statistically significant'
             ELSE 'may not be significant' END AS verdict FROM c""",
-    "pareto_models": f"""WITH {SUMMARY}
+    "pareto_models": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, model, {rounded("sari_mean", "avg_generation_time")} FROM summary a
 WHERE NOT EXISTS (
   SELECT 1 FROM summary b WHERE b.run_id = a.run_id
@@ -599,16 +631,16 @@ SELECT rank() OVER (ORDER BY mean_of_means DESC)::INT AS rank, model,
   printf('- **Mean SARI**: %.2f ± %.2f', mean_of_means, std_of_means) AS mean_line,
   printf('- **95%% CI**: [%.2f, %.2f]', mean_of_means - half, mean_of_means + half) AS ci_line
 FROM aggregate""",
-    "results_json": f"""WITH {SUMMARY}
+    "results_json": f"""WITH {SUMMARY_WHOLE}
 SELECT run_id, seed, model, model_type, num_samples, {rounded(*STATS, *SPEED)} FROM summary""",
     "run_summaries": f"""WITH {SUMMARY}
 SELECT run_id::BIGINT AS run_id, seed::BIGINT AS seed, model, model_type, num_samples,
        {rounded(*STATS, *SPEED)} FROM summary""",
     "comparison_document": f"""WITH {SUMMARY}
-SELECT model, model_type, 42::BIGINT AS seed, TIMESTAMP '2024-01-31 12:34:56' AS evaluated_at,
-  string_agg(model, ',') OVER (ORDER BY sari_mean DESC, model
+SELECT model, model_type, seed::BIGINT AS seed, TIMESTAMP '2024-01-31 12:34:56' AS evaluated_at,
+  string_agg(model, ',') OVER (PARTITION BY run_id ORDER BY sari_mean DESC, model
     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS ranking,
-  {rounded("sari_mean", "sari_median")} FROM summary WHERE run_id = 1""",
+  {rounded("sari_mean", "sari_median")} FROM summary""",
     "campaign_compare": f"""WITH {SUMMARY},
 {log(80.0, "log_b")},
 {summary("log_b", "summary_b")},
@@ -623,9 +655,52 @@ SELECT model, run_id, {rounded("sari_mean_a", "sari_mean_b", "avg_generation_tim
                                "avg_generation_time_diff")} FROM c""",
     "timestamp_label": """SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS label,
 date_trunc('second', ts)::TIMESTAMP AS at FROM events""",
-    "predict_batches": f"SELECT doc_id, {first_sentence('text')} AS prediction FROM documents",
+    "predict_batches": f"""SELECT doc_id,
+  {strip("array_to_string(string_split(text, ' ')[1:64], ' ')")} AS prediction FROM documents""",
     "stream_format": f"""WITH {DOCS}
 SELECT doc_id, {rendered("prompt", "result")} AS formatted_text FROM docs""",
     "stream_log": """SELECT ts, 'baseline' AS model, props AS input, event_type AS output,
 true AS ai_generated FROM events""",
+    "head_unlabelled": f"""WITH {UNLABELLED} SELECT doc_id, split FROM u
+QUALIFY split IS NULL OR row_number() OVER (PARTITION BY split ORDER BY doc_id) <= 20""",
+    "sample_unlabelled": f"""WITH {UNLABELLED} SELECT doc_id, split FROM u
+QUALIFY row_number() OVER (PARTITION BY split
+                           ORDER BY {digest(42, "sample", DOC_KEY)}, doc_id::VARCHAR)
+  <= CASE split WHEN 'val' THEN 20 WHEN 'test' THEN 10 ELSE 9223372036854775807 END""",
+    "shuffle_unlabelled": f"""WITH {UNLABELLED} SELECT doc_id, split,
+row_number() OVER (PARTITION BY split
+                   ORDER BY {digest(42, "shuffle", DOC_KEY)}, doc_id::VARCHAR) - 1 AS position FROM u""",
+    "row_index_unlabelled": f"""WITH {UNLABELLED} SELECT doc_id, split,
+row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS position FROM u""",
+    "score_summary_unlabelled": f"""WITH e AS (
+  SELECT CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind, value FROM events),
+v AS (SELECT kind, CASE WHEN kind = 'view' THEN NULL ELSE value END AS sari FROM e),
+s AS (SELECT kind, count(sari) AS num_samples, avg(sari) AS sari_mean, stddev_pop(sari) AS sari_std,
+             min(sari) AS sari_min, max(sari) AS sari_max, quantile_cont(sari, 0.25) AS sari_q25,
+             quantile_cont(sari, 0.5) AS sari_median, quantile_cont(sari, 0.75) AS sari_q75
+      FROM v GROUP BY kind)
+SELECT kind, num_samples, {rounded(*STATS)} FROM s""",
+    "sari_incomplete": f"""WITH {INCOMPLETE}
+SELECT conv_id, turn, {SCORES} FROM pairs LEFT JOIN sari_scores USING (conv_id, turn)""",
+    "dedup_pairs": f"""WITH {PAIRS} SELECT conv_id, turn FROM pairs
+QUALIFY row_number() OVER (PARTITION BY prompt, result ORDER BY conv_id, turn) = 1""",
+    "split_examples": f"""WITH {DOCS} SELECT split, prompt, result FROM docs
+WHERE prompt IS NOT NULL AND result IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY split ORDER BY doc_id) = 1""",
+    "multi_run_many": f"""WITH s AS (
+  SELECT event_type AS model, event_id % 48 AS run, avg(value) AS m, stddev_pop(value) AS d
+  FROM events GROUP BY ALL),
+a AS (SELECT model, avg(m) AS mean_of_means, stddev_samp(m) AS std_of_means, avg(d) AS mean_of_stds,
+             count(*) AS num_runs FROM s GROUP BY model),
+h AS (SELECT *, ({T_ANY}) * std_of_means / sqrt(num_runs) AS half FROM a),
+o AS (SELECT *, mean_of_means - half AS ci_low, mean_of_means + half AS ci_high FROM h)
+SELECT model, {rounded("mean_of_means", "std_of_means", "mean_of_stds", "ci_low", "ci_high")}, num_runs FROM o""",
+    "speed_lines": f"""WITH {SUMMARY_WHOLE}
+SELECT run_id, model, format('{{}}: {{:.3f}} s per sample, {{:.3f}} s in all, {{:.2f}} per second, {{:,}} samples',
+  model, avg_generation_time, total_time, tokens_per_second, num_samples) AS speed_line FROM summary""",
+    "campaign_models": f"""WITH {CALLED}
+SELECT model, i.model_type, conv_id, turn, len({words("prediction")})::INT AS n_units, round(sari, 6) AS sari
+FROM inp i JOIN sari_scores USING (model, conv_id, turn)""",
+    "campaign_resumed": f"""WITH {SCORED}
+SELECT run_id, seed, model, conv_id, turn, n_units::INT AS n_units, round(sari, 6) AS sari FROM log""",
 }

@@ -3,11 +3,14 @@ the other splits shuffled, every row turned into a two-turn conversation."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.operators.corpus import add_instruction, add_two_turns, complete
 from plainweave.operators.mixing import interleave
+from plainweave.operators.position import with_position
 from plainweave.operators.sampling import part_positions, ratio_condition, shuffle_order
 from plainweave.operators.staging import stage
 
@@ -21,6 +24,12 @@ def mix_training(
     them; the rows themselves are read and moved once, at the end.
     """
     narrow = stage(train.select(*dict.fromkeys([*keys, *order])))
+    n = narrow.count()
+    if math.floor(n * ratio) in (0, n):  # one part is empty: the other alone
+        alone = shuffle_order(narrow, keys, seed) if math.floor(n * ratio) == 0 else with_position(narrow, order)
+        places = alone.select(*keys, F.col("position").alias("row_id"))
+        part = "shuffled" if math.floor(n * ratio) == 0 else "ordered"
+        return train.join(places, keys).withColumns({"part": F.lit(part), "source": F.lit(int(part == "shuffled"))})
     first = ratio_condition(narrow, keys, ratio, seed)
     part = F.when(first, "ordered").otherwise("shuffled")
     places = part_positions(narrow.withColumn("part", part), keys, order, seed)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plainweave.functions import chat, text
-from plainweave.functions.fixed import TASK_PREFIX
+from plainweave.functions.fixed import BASELINE_MARKER, SYSTEM_PROMPT, TASK_PREFIX, TEMPLATES
 from plainweave.operators import campaign, corpus, lengths, mixing, predict, sampling, scoring
 from plainweave.operators import sari as score
 from plainweave.operators.position import with_position
@@ -215,9 +215,9 @@ def row_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zip_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Sentences and lines of a document paired up, and formatted as lists."""
-    a = text.sentences(F.col("text"))
-    b = F.split("text", "\n", -1)
+    """Lines of a document paired with their first sentences, and formatted as lists."""
+    a = F.split("text", "\n", -1)
+    b = F.transform(a, text.first_sentence)
     rows = documents(spark, sf).select("doc_id", a.alias("a"), b.alias("b"))
     zipped = chat.zip_lists(F.col("a"), F.col("b"))
     shown = chat.formatter_lists("chatml", "S")(F.col("a"), F.col("b"))
@@ -237,8 +237,8 @@ def generated_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def length_filter(spark: SparkSession, sf: str) -> DataFrame:
-    rows = lengths.within_length(documents(spark, sf), "text", LIMIT)
-    return rows.select("doc_id", "lang", F.size(text.tokens(F.col("text"))).alias("n_tokens"))
+    rows = lengths.within_length(documents(spark, sf).select("doc_id", "lang", "text"), "text", LIMIT)
+    return rows.select("doc_id", "lang", "n_tokens")
 
 
 def toxic_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,6 +251,11 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.drop_duplicates(rows, ["prompt", "result"], "doc_id").select("doc_id", "split")
 
 
+def dedup_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs without copies of their texts, by a key of two columns."""
+    return corpus.drop_duplicates(pairs(spark, sf), ["prompt", "result"], PAIR_KEYS).select(*PAIR_KEYS)
+
+
 def configured_models(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of two configured event types standing for models."""
     events = table(spark, sf, "events").withColumnRenamed("event_type", "model")
@@ -265,6 +270,28 @@ def head_per_split(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.head_per_split(document_pairs(spark, sf), 100, DOC).select("doc_id", "split")
 
 
+def _unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of which every fifth lacks a split."""
+    split = F.when(F.col("doc_id") % 5 != 0, F.col("split")).alias("split")
+    return document_pairs(spark, sf).select("doc_id", split)
+
+
+def head_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.head_per_split(_unlabelled(spark, sf), 20, DOC)
+
+
+def sample_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.sample_exact(_unlabelled(spark, sf), DOC, {"val": 20, "test": 10})
+
+
+def shuffle_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.shuffle_order(_unlabelled(spark, sf), DOC, within=["split"])
+
+
+def row_index_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    return with_position(_unlabelled(spark, sf), DOC, ["split"])
+
+
 def sample_exact(spark: SparkSession, sf: str) -> DataFrame:
     sizes = {"val": 100, "test": 50}
     return sampling.sample_exact(document_pairs(spark, sf), DOC, sizes).select("doc_id", "split")
@@ -344,6 +371,10 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.split_counts(document_pairs(spark, sf))
 
 
+def split_examples(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.split_examples(document_pairs(spark, sf), DOC)
+
+
 def _formatted(spark: SparkSession, sf: str) -> DataFrame:
     return training.formatted(document_pairs(spark, sf), DOC, LIMIT)
 
@@ -453,9 +484,15 @@ def score_join(spark: SparkSession, sf: str) -> DataFrame:
 # --- scores ---------------------------------------------------------------------------
 
 
+def marked_model(**settings):
+    """Takes the paragraph out of the baseline question; answers with its first sentence."""
+    answer = predict.first_sentence_model(**settings)
+    return lambda asked: answer([a.split(BASELINE_MARKER + " ", 1)[1] for a in asked])
+
+
 def _scored_tiers(spark: SparkSession, sf: str, as_published: bool = False) -> DataFrame:
     return evaluation.score_tiers(
-        pairs(spark, sf), PAIR_KEYS, PAIR_KEYS, predict.first_sentence_model, None, as_published
+        pairs(spark, sf), PAIR_KEYS, PAIR_KEYS, marked_model, None, as_published
     )
 
 
@@ -467,13 +504,19 @@ def tier_scores_published(spark: SparkSession, sf: str) -> DataFrame:
     return _round(scoring.tier_scores(_scored_tiers(spark, sf, True)), "sari_mean")
 
 
-def _scores(spark: SparkSession, sf: str, chars_per_second: float = 100.0) -> DataFrame:
-    """Score log of the baseline campaign; the length of the answer stands for
-    the time a generator takes."""
+def _scores(
+    spark: SparkSession, sf: str, chars_per_second: float = 100.0, runs: int = 1, size: float | None = None
+) -> DataFrame:
+    """Score log of the baseline models over all pairs; the length of the answer
+    stands for the time a generator takes."""
     seconds = F.length("prediction") / F.lit(chars_per_second)
-    return evaluation.score_grid(
-        pairs(spark, sf), PAIR_KEYS, MODELS, RUNS, RUN_SHARE, seconds=seconds
-    )
+    return evaluation.score_grid(pairs(spark, sf), PAIR_KEYS, MODELS, runs, size, seconds=seconds)
+
+
+def _drawn(spark: SparkSession, sf: str, chars_per_second: float = 100.0) -> DataFrame:
+    """The same for a campaign of several runs, each over a seeded sample of its
+    own: that is what its runs differ by."""
+    return _scores(spark, sf, chars_per_second, RUNS, RUN_SHARE)
 
 
 SUMMARY = ["sari_mean", "sari_std", "sari_min", "sari_max", "sari_q25", "sari_median", "sari_q75"]
@@ -492,6 +535,33 @@ def document_score_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _round(scoring.score_summary(scores, ["lang"]), *SUMMARY)
 
 
+def score_summary_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Event values by a type that some lack; one type has no value at all."""
+    events = table(spark, sf, "events")
+    kind = F.when(F.col("event_id") % 3 != 0, F.col("event_type"))
+    value = F.when(F.coalesce(kind != "view", F.lit(True)), F.col("value"))
+    rows = events.select(kind.alias("kind"), value.alias("sari"))
+    return _round(scoring.score_summary(rows, ["kind"]), *SUMMARY)
+
+
+def sari_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts and references missing or empty by key: a row out for every row in."""
+    case = F.pmod(F.col("conv_id"), F.lit(7))
+    none, empty = F.lit(None).cast("string"), F.lit("")
+    source = F.when(case == 0, none).when(case == 5, empty).otherwise(F.col("prompt"))
+    prediction = F.when(case == 4, none).otherwise(text.first_sentence(F.col("prompt")))
+    references = (
+        F.when(case == 1, F.array().cast("array<string>"))
+        .when(case == 2, F.lit(None).cast("array<string>"))
+        .when(case == 3, F.array("result", none))
+        .otherwise(F.array("result"))
+    )
+    rows = pairs(spark, sf).select(
+        *PAIR_KEYS, source.alias("source"), prediction.alias("prediction"), references.alias("references")
+    )
+    return _round_parts(score.sari(rows, PAIR_KEYS))
+
+
 def throughput(spark: SparkSession, sf: str) -> DataFrame:
     """Event values as seconds, the number in props as units, types as models."""
     events = table(spark, sf, "events").withColumnRenamed("event_type", "model")
@@ -532,15 +602,81 @@ def resume_anti(spark: SparkSession, sf: str) -> DataFrame:
     return rest.select("run_id", "model", *PAIR_KEYS)
 
 
+def _asked(close: str, answer):
+    """A model that finds the paragraph in its question and says whether a
+    system turn was there."""
+
+    def model(questions: list[str]) -> list[str]:
+        found = [q.split(TASK_PREFIX, 1)[1].split(close, 1)[0] for q in questions]
+        heads = ["S " if SYSTEM_PROMPT in q else "" for q in questions]
+        return [h + " ".join(answer(p.split(" "))) for h, p in zip(heads, found)]
+
+    return model
+
+
+def lead_model(max_new_tokens: int, close: str, **settings):
+    return _asked(close, lambda found: found[:max_new_tokens])
+
+
+def tail_model(skip: int, close: str, **settings):
+    return _asked(close, lambda found: found[skip:])
+
+
+CALLER_MODELS = [
+    {"model": "lead", "type": "role_tags", "use_system_prompt": True, "factory": lead_model,
+     "settings": {"max_new_tokens": 20, "close": TEMPLATES["role_tags"]["close"]}},
+    {"model": "tail", "type": "chatml", "use_system_prompt": False, "factory": tail_model,
+     "settings": {"skip": 5, "close": TEMPLATES["chatml"]["close"]}},
+]
+
+
+def campaign_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Two models of the caller's with settings, templates and system prompt of their own."""
+    log = evaluation.score_grid(pairs(spark, sf), PAIR_KEYS, CALLER_MODELS, 1, None)
+    return _round(log.select("model", "model_type", *PAIR_KEYS, "n_units", "sari"), "sari")
+
+
+def campaign_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """A campaign broken off after its first run and one model, completed."""
+    log = stage(_drawn(spark, sf))
+    done = log.where((F.col("run_id") == 1) | (F.col("model") == "identity"))
+    whole = evaluation.resumed_log(
+        pairs(spark, sf), PAIR_KEYS, done, models=MODELS, runs=RUNS, size=RUN_SHARE,
+        seconds=F.length("prediction") / F.lit(100.0),
+    )
+    return _round(whole.select("run_id", "seed", "model", *PAIR_KEYS, "n_units", "sari"), "sari")
+
+
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.campaign(_scores(spark, sf))[0]
 
 
+AGGREGATE = ["mean_of_means", "std_of_means", "mean_of_stds", "ci_low", "ci_high"]
+
+
 def multi_run(spark: SparkSession, sf: str) -> DataFrame:
-    _, aggregate = evaluation.campaign(_scores(spark, sf))
-    ids = F.transform("runs", lambda r: F.concat_ws(":", r["run_id"], r["seed"]))
-    out = aggregate.withColumn("runs", F.array_join(ids, ","))
-    return _round(out, "mean_of_means", "std_of_means", "mean_of_stds", "ci_low", "ci_high")
+    """Statistics over runs that each drew half of the pairs."""
+    _, aggregate = evaluation.campaign(_drawn(spark, sf))
+
+    def shown(r: Column) -> Column:
+        return F.format_string("%d:%d:%.4f:%.4f", r["run_id"], r["seed"], r["sari_mean"], r["sari_std"])
+
+    out = aggregate.withColumn("runs", F.array_join(F.transform("runs", shown), ","))
+    return _round(out, *AGGREGATE)
+
+
+def multi_run_many(spark: SparkSession, sf: str) -> DataFrame:
+    """48 runs a model: event values as scores, types as models."""
+    run = (F.pmod(F.col("event_id"), F.lit(48)) + 1).cast("int")
+    rows = table(spark, sf, "events").select(
+        F.col("event_type").alias("model"), run.alias("run_id"), (run + 41).alias("seed"), F.col("value").alias("sari")
+    )
+    summary = scoring.score_summary(stage(rows), ["model", "run_id", "seed"])
+    return _round(campaign.multi_run(summary).drop("runs"), *AGGREGATE)
+
+
+def speed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return campaign.speed_lines(_summary(spark, sf))
 
 
 def model_ranking(spark: SparkSession, sf: str) -> DataFrame:
@@ -568,7 +704,8 @@ def pareto_models(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def summary_lines(spark: SparkSession, sf: str) -> DataFrame:
-    _, aggregate = evaluation.campaign(_scores(spark, sf))
+    """Report lines over runs that each drew half of the pairs."""
+    _, aggregate = evaluation.campaign(_drawn(spark, sf))
     return campaign.summary_lines(aggregate)
 
 
@@ -581,25 +718,28 @@ def results_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    """One document per run written, and all of them read back by run and model."""
+    """One document per run, which drew half of the pairs, written, and all of
+    them read back by run and model."""
     path = new_path(spark)
-    writers.write_run_documents(campaign.run_documents(_summary(spark, sf)), path)
+    summary, _ = evaluation.campaign(_drawn(spark, sf))
+    writers.write_run_documents(campaign.run_documents(summary), path)
     back = readers.read_run_summaries(spark, path)
     columns = ["run_id", "seed", "model", "model_type", "num_samples", *SUMMARY, *SPEED]
     return _round(back.select(*columns), *SUMMARY, *SPEED)
 
 
 def comparison_document(spark: SparkSession, sf: str) -> DataFrame:
-    """The comparison of the first run, written as JSON and read back by model."""
-    summary = _summary(spark, sf).where(F.col("run_id") == 1).select(
-        "model", F.col("model").alias("model_path"), "model_type", "num_samples", *SUMMARY, *SPEED
+    """The comparison of every run, written as JSON and read back by model."""
+    summary = evaluation.campaign(_drawn(spark, sf))[0].select(
+        "run_id", "seed", "model", F.col("model").alias("model_path"), "model_type", "num_samples",
+        *SUMMARY, *SPEED,
     )
     at = F.to_timestamp(F.lit("2024-01-31 12:34:56"))
     document = campaign.comparison_document(
-        summary, {"num_samples": 0, "seed": 42, "note": "per model"}, at
+        summary, {"num_samples": 0, "note": "per model"}, at
     )
     path = new_path(spark)
-    writers.write_json(document, path)
+    writers.write_comparisons(document, path)
     back = readers.read_comparisons(spark, path)
     return _round(
         back.select(
@@ -612,9 +752,10 @@ def comparison_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """The same seeds at another speed: equal scores, other times."""
-    a = evaluation.campaign(_scores(spark, sf))[0]
-    b = evaluation.campaign(_scores(spark, sf, 80.0))[0]
+    """The same seeds, and halves of the pairs, at another speed: equal scores,
+    other times."""
+    a = evaluation.campaign(_drawn(spark, sf))[0]
+    b = evaluation.campaign(_drawn(spark, sf, 80.0))[0]
     out = campaign.compare_campaigns(a, b, ["sari_mean", "avg_generation_time"])
     return _round(out, *[c for c in out.columns if c not in ("model", "run_id")])
 
@@ -632,9 +773,14 @@ def timestamp_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def predict_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """The model call over partitions, with a per-task model and real batches."""
+    """The model call over partitions, with a per-task model that uses its
+    settings, and real batches."""
+
+    def words_model(max_new_tokens: int, **settings):
+        return lambda texts: [" ".join(t.split(" ")[:max_new_tokens]) for t in texts]
+
     docs = documents(spark, sf).select("doc_id", "text")
-    answered = predict.predict(docs, "text", predict.first_sentence_model, {"max_new_tokens": 64})
+    answered = predict.predict(docs, "text", words_model, {"max_new_tokens": 64})
     return answered.select("doc_id", "prediction")
 
 
@@ -684,6 +830,9 @@ QUERIES = {
         evaluation_grid, resume_anti, multi_run, model_ranking, ranking_list, best_model,
         pairwise_models, pareto_models, summary_lines, results_json, run_summaries, comparison_document,
         campaign_compare, timestamp_label,
+        head_unlabelled, sample_unlabelled, shuffle_unlabelled, row_index_unlabelled,
+        score_summary_unlabelled, sari_incomplete, dedup_pairs, split_examples, multi_run_many,
+        speed_lines, campaign_models, campaign_resumed,
         predict_batches, stream_format, stream_log,
     )
 }

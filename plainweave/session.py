@@ -12,6 +12,7 @@ def local_session(cpus: str = "8", name: str = "plainweave", **conf: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.plainweave.inputPartitions", cpus)  # the given tables are single files
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():

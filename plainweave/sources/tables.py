@@ -17,16 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-SPREAD_BELOW = 16 << 20
+INPUT_PARTITIONS = "spark.plainweave.inputPartitions"
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input over the cores when it is too small to fill them, as one
-    file of a few megabytes is a single task however much work a row is. Larger
-    inputs (from 16 MB per core on) are read as they are, without a shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * SPREAD_BELOW else df
+    """Inputs as they are read. Where the session asks for a number of input
+    partitions, they are spread over so many: one small file is a single task
+    however much work a row is."""
+    number = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(number), *keys) if number else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,9 +34,10 @@ def write_predictions(df: DataFrame, path: str) -> None:
     df.write.partitionBy("model").mode("overwrite").json(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Comparison documents."""
-    df.write.mode("overwrite").json(path)
+def write_comparisons(documents: DataFrame, path: str) -> None:
+    """Comparison documents, one file per run, in a folder of its own."""
+    by_run = documents.withColumn("run", F.col("configuration.run_id")).repartition("run")
+    by_run.write.partitionBy("run").mode("overwrite").json(path)
 
 
 def write_run_documents(documents: DataFrame, path: str) -> None:

@@ -14,8 +14,11 @@ TABLES = (
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("4", "tests", **{"spark.ui.showConsoleProgress": "false"})
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stages"))
+    session = local_session(
+        "4", "tests", **{"spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": folder}
+    )
     yield session
     session.stop()
 

@@ -178,6 +178,17 @@ def test_campaign_end_to_end(spark):
     assert aggregate.count() == 3
 
 
+def test_campaign_over_given_predictions(spark):
+    df = small(spark, 6)
+    given = df.where("row_id < 4").select("row_id", F.col("result").alias("prediction"))
+    log = evaluation.score_grid(df, ["row_id"], [{"model": "mine", "predictions": given}], 2, None)
+    rows = log.collect()
+    assert len(rows) == 12
+    assert {r["row_id"]: r["sari"] for r in rows} == {k: 100.0 if k < 4 else None for k in range(6)}
+    with pytest.raises(ValueError, match="no built-in model"):
+        evaluation.score_grid(df, ["row_id"], [{"model": "mine"}], 1, None)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     source = str(tmp_path / "in")
     small(spark).write.parquet(source)

@@ -117,3 +117,22 @@ def test_pack(spark, partitions):
     got = mixing.pack_sequences(df.repartition(partitions), ["id"], "toks", 8, 13).collect()
     assert sorted((r["shard"], r["block"], r["tokens"]) for r in got) == plain_pack(texts, 8, 13)
     assert all(r["n_tokens"] == len(r["tokens"]) for r in got)
+
+
+def test_tiny_training_sets(spark):
+    for n in (0, 1, 2, 3):
+        got = mix_training(spark.range(n), ["id"], ["id"]).collect()
+        assert {r["id"] for r in got} == set(range(n))
+        assert sorted(r["row_id"] for r in got) == list(range(len(got)))
+
+
+def test_nth_draw_through_small_blocks(spark, monkeypatch):
+    from plainweave.operators import mixing
+
+    draws = [r["source"] for r in mixing._draws(spark, [0.3, 0.7], 5, 0, 2000).orderBy("row_id").collect()]
+    monkeypatch.setattr(mixing, "MIN_BLOCK", 16)
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 4)
+    for source in (0, 1):
+        places = [i for i, s in enumerate(draws) if s == source]
+        for k in (1, 2, 100, len(places)):
+            assert mixing._nth(spark, [0.3, 0.7], 5, source, k, 0, 2000) == places[k - 1]

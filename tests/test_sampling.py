@@ -38,10 +38,7 @@ def test_sample_sizes_at_the_borders(spark):
     assert ids(one, "id") != ids(two, "id")
 
 
-@pytest.mark.parametrize("limit", (5, 1000))
-def test_head(spark, limit, monkeypatch):
-    # with a low limit the border is found through ranges instead of a window
-    monkeypatch.setattr("plainweave.operators.position.GROUP_LIMIT", limit)
+def test_head(spark):
     got = ids(sampling.head_per_split(rows(spark).repartition(5), 20, ["id"]), "split", "id")
     expected = []
     for split, test in (("test", lambda i: i % 10 == 1), ("train", lambda i: i % 10 > 1),
@@ -52,6 +49,28 @@ def test_head(spark, limit, monkeypatch):
     assert sampling.head_per_split(rows(spark), 0, ["id"]).count() == 0
 
 
+def test_numbers_of_parts():
+    from plainweave.operators.position import RANGE_ROWS, range_number
+    from plainweave.operators.sari import PART_BYTES, part_number
+
+    assert range_number(0, 8, RANGE_ROWS) == range_number(8 * RANGE_ROWS, 8, RANGE_ROWS) == 8
+    assert range_number(10**12, 200, RANGE_ROWS) == 10**12 // RANGE_ROWS
+    assert part_number(0, 8) == 8 and part_number(10**14, 200) == -(-(10**14) // PART_BYTES)
+
+
+@pytest.mark.parametrize("per_range", (7, 100_000))
+def test_null_groups(spark, per_range, monkeypatch):
+    monkeypatch.setattr("plainweave.operators.position.RANGE_ROWS", per_range)
+    df = spark.createDataFrame([(i, None if i % 5 < 2 else "val") for i in range(100)], "id long, split string")
+    counts = {None: 40, "val": 60}
+    for placed in (with_position(df, ["id"], ["split"]), sampling.shuffle_order(df, ["id"], 1, ["split"])):
+        for split, n in counts.items():
+            mine = placed.where(F.col("split").eqNullSafe(F.lit(split)))
+            assert sorted(r["position"] for r in mine.collect()) == list(range(n))
+    for kept in (sampling.sample_exact(df, ["id"], {"val": 9}), sampling.head_per_split(df, 9, ["id"])):
+        assert {r["split"]: r["count"] for r in kept.groupBy("split").count().collect()} == {None: 40, "val": 9}
+
+
 @pytest.mark.parametrize("n", PARTS)
 def test_positions(spark, n):
     df = rows(spark).repartition(n)

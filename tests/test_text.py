@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from plainweave.functions import chat, text
 from plainweave.functions.fixed import DEFAULT_INSTRUCTION, INSTRUCTIONS, SYSTEM_PROMPT
 from plainweave.functions.hashing import order_key, uniform
@@ -114,11 +115,23 @@ def test_dispatch_and_system_off(spark):
 
 
 def test_formatter_takes_lists(spark):
-    df = spark.createDataFrame([(["a", "b", "c"], ["x", "y"])], "p array<string>, r array<string>")
+    df = spark.createDataFrame([(["a", "b"], ["x", "y"])], "p array<string>, r array<string>")
     lists = chat.formatter_lists("chatml", "S")(F.col("p"), F.col("r"))
     single = chat.formatter("chatml", "S")
     expected = df.select(F.array(single(F.lit("a"), F.lit("x")), single(F.lit("b"), F.lit("y"))))
     assert df.select(lists).first()[0] == expected.first()[0]
+    uneven = spark.createDataFrame([(["a", "b", "c"], ["x", "y"])], df.schema)
+    with pytest.raises(Exception, match="unequal length"):
+        uneven.select(lists).collect()
+    missing = spark.createDataFrame([(None, ["x"])], df.schema)
+    assert missing.select(lists).first()[0] is None
+
+
+def test_null_turn_makes_a_null_text(spark):
+    rows = [([("user", "a"), ("assistant", None)],), ([("user", "a")],)]
+    df = spark.createDataFrame(rows, "m array<struct<role:string,content:string>>")
+    got = [r[0] for r in df.select(chat.render(F.col("m"))).collect()]
+    assert got[0] is None and got[1] is not None
 
 
 def test_system_prompt_default(spark):
