@@ -82,11 +82,13 @@ def _counts(places: DataFrame) -> DataFrame:
 
     rows = places.select("verdict", "half", "copies", F.explode("grams").alias("gram"))
     named = [count(v, h).alias(f"{n}{h}") for v, n in (("allow", "a"), ("block", "r")) for h in MODELS]
-    counted = rows.groupBy("gram").agg(*named)
+    counted = stage(rows.groupBy("gram").agg(*named))  # spelled out once, read by every order
     # the begin is followed once by every URL
     first = counted.where((F.length("gram") == 2) & F.startswith("gram", F.lit(BEGIN)))
-    sums = first.agg(*[F.coalesce(F.sum(f"{n}{h}"), F.lit(0)).alias(f"{n}{h}") for n in "ar" for h in MODELS])
-    return counted.unionByName(sums.withColumn("gram", F.lit(BEGIN)))
+    columns = [f"{n}{h}" for n in "ar" for h in MODELS]
+    sums = first.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns]).first()
+    begin = counted.sparkSession.range(1).select(F.lit(BEGIN).alias("gram"), *[F.lit(sums[c]).cast("long").alias(c) for c in columns])
+    return counted.unionByName(begin)
 
 
 def _ratios(counts: DataFrame) -> DataFrame:
@@ -168,7 +170,7 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFram
         .select(F.col("_url").alias("url"), F.col("_verdict").alias("verdict"), half.alias("half"))
         .groupBy("url", "verdict", "half").agg(F.count(F.lit(1)).alias("copies"))
     )
-    ratios = stage(_ratios(stage(_counts(_grams(urls)))))
+    ratios = stage(_ratios(_counts(_grams(urls))))
     held = F.when(F.col("half") == "0", F.col("s1")).otherwise(F.col("s0"))
     scored = _grams(urls).select("url", "verdict", "half", "copies", "full").join(ratios, "full")
     scores = stage(
