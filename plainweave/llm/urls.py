@@ -23,6 +23,7 @@ ALPHABET = 256
 UNIT = 1_000_000  # scores are held as integers of millionths
 BIN, TOP = 10_000, 1000
 MODELS = ("", "0", "1")  # all judged URLs, and each half
+PART_BYTES = 1 << 18  # of URLs in a task; their n-grams take a hundred times as much
 
 Rule = tuple[str, str]
 
@@ -170,6 +171,8 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFram
         .select(F.col("_url").alias("url"), F.col("_verdict").alias("verdict"), half.alias("half"))
         .groupBy("url", "verdict", "half").agg(F.count(F.lit(1)).alias("copies"))
     )
+    size = urls.agg(F.coalesce(F.sum(F.octet_length("url")), F.lit(0))).first()[0]
+    urls = urls.repartition(size // PART_BYTES + 1, "url")
     ratios = stage(_ratios(_counts(_grams(urls))))
     held = F.when(F.col("half") == "0", F.col("s1")).otherwise(F.col("s0"))
     scored = _grams(urls).select("url", "verdict", "half", "copies", "full").join(ratios, "full")
