@@ -34,8 +34,20 @@ PATTERN = re.compile(
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w]|-\d))"
+    r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w))"
 )
+# Lengths of IBANs by country, and of cards by first digit where not all occur.
+IBAN_LENGTHS = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+        25: "AO CV GW LY MZ PT ST", 26: "IR IS TR", 27: "BF BI BJ CF CG CI CM DJ FR GA GQ GR IT KM MC MG ML MR NE SM SN TD TG",
+        28: "AL AZ BY CY DO EG GT HN HU LB MA NI PL SV", 29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+CARD_LENGTHS = {"1": (15,), "4": (13, 16, 19)}
 WORTH = re.compile(r"[0-9@]|[=:]\s*[\"']?[A-Za-z0-9_+/-]{8}")
 
 
@@ -124,8 +136,12 @@ def _card(value: str, turn) -> str | None:
     digits = re.sub(r"\D", "", value)
     if not 13 <= len(digits) <= 19 or luhn(digits) or digits[0] == "0":
         return None
-    body = digits[0] + by_alphabets(digits[1:-1], [DIGITS] * (len(digits) - 2), f"card{len(digits)}{digits[0]}", turn)
-    return filled(value, body + str(-luhn(body + "0") % 10))
+    mark = luhn(digits + "0")
+    while True:  # until a number behind it reads as part of the card or not as before
+        body = digits[0] + by_alphabets(digits[1:-1], [DIGITS] * (len(digits) - 2), f"card{len(digits)}{digits[0]}", turn)
+        digits = body + str(-luhn(body + "0") % 10)
+        if luhn(digits + "0") == mark:
+            return filled(value, digits)
 
 
 def _iban(value: str, turn) -> str | None:
@@ -250,6 +266,24 @@ def _secret(value: str, turn) -> str | None:
 RULES = {"email": _email, "card": _card, "iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "secret": _secret}
 
 
+def readings(kind: str, value: str) -> list[str]:
+    """What a found value may be: a card or an IBAN may have taken in a number or
+    word behind it, so its starts up to a separator are read too. A card's longest
+    start goes first, an IBAN's of its country's length; which one is taken is
+    the same for the pseudonym."""
+    if kind not in ("card", "iban"):
+        return [value]
+    starts = [value, *(value[: m.start()] for m in reversed(list(re.finditer("[ -]", value))))]
+    sizes = [sum(c.isalnum() for c in start) for start in starts]
+    if kind == "card":
+        likely = CARD_LENGTHS.get(value[0], range(13, 20))
+        return [value, *(start for start, n in zip(starts[1:], sizes[1:]) if n in likely)]
+    own = IBAN_LENGTHS.get(value[:2])
+    if own in sizes:
+        return [starts[sizes.index(own)], value]
+    return [value] if own else starts
+
+
 class Pseudonyms:
     """Replaces the values of one key; keeps a bounded table of those it has met."""
 
@@ -274,13 +308,17 @@ class Pseudonyms:
             return text, counts
         out, upto, at = [], 0, 0
         while found := PATTERN.search(text, at):
-            made = self.value(found.lastgroup, found.group())
-            if made is None:  # not valid as this kind: look on behind its first character
-                at = found.start() + 1
+            kind, start = found.lastgroup, found.start()
+            for read in readings(kind, found.group()):
+                made = self.value(kind, read)
+                if made is not None:
+                    break
+            else:  # not valid as this kind: look on behind its first character
+                at = start + 1
                 continue
-            counts[found.lastgroup] = counts.get(found.lastgroup, 0) + 1
-            out += [text[upto : found.start()], made]
-            upto = at = found.end()
+            counts[kind] = counts.get(kind, 0) + 1
+            out += [text[upto:start], made]
+            upto = at = start + len(read)
         return ("".join([*out, text[upto:]]), counts) if out else (text, counts)
 
 
