@@ -48,7 +48,8 @@ IBAN_LENGTHS = {
     for country in countries.split()
 }
 CARD_LENGTHS = {"1": (15,), "4": (13, 16, 19)}
-WORTH = re.compile(r"[0-9@]|[=:]\s*[\"']?[A-Za-z0-9_+/-]{8}")
+FOREIGN = re.compile(r"[^\D0-9]")  # digits of other scripts
+WORTH = re.compile(r"[\d@]|[=:]\s*[\"']?[A-Za-z0-9_+/-]{8}")
 
 
 class Cipher:
@@ -123,6 +124,18 @@ def filled(shape: str, digits: str) -> str:
     return "".join(next(take) if c in DIGITS else c for c in shape)
 
 
+def rescripted(made: str, raw: str) -> str:
+    """`made` with its digits in the scripts of those of `raw`, run by run."""
+    runs = iter(re.findall(r"\d+", raw))
+
+    def written(found: re.Match) -> str:
+        run = next(runs)
+        zeros = [ord(c) - int(c) for c in run]
+        return "".join(chr(zeros[min(k, len(zeros) - 1)] + int(c)) for k, c in enumerate(found.group()))
+
+    return re.sub(r"\d+", written, made)
+
+
 def luhn(digits: str) -> int:
     """Zero for a number with a right check digit."""
     total = 0
@@ -247,23 +260,24 @@ def _email(value: str, turn) -> str | None:
     return by_alphabets(local, [alphabet(c) for c in local], f"email{shape(local)}@{domain.lower()}", turn) + "@" + domain
 
 
-def _secret(value: str, turn) -> str | None:
+def _secret(value: str, turn, ascii_: bool = True) -> str | None:
     at = re.search(r"[A-Za-z0-9_+/-]+$", value).start()
     head, body = value[:at], value[at:]
     if not head:
         head, body = body[:4], body[4:]
     elif not any(c in DIGITS for c in body):
         return None  # a word, not a key
-    hexes = all(c in HEX for c in body)
+    hexes = ascii_ and all(c in HEX for c in body)
     kinds = [HEX if hexes else alphabet(c) for c in body]
     tweak = f"secret{len(body)}{'x' if hexes else shape(body)}"
     while True:  # among keys of the same kind
         body = by_alphabets(body, kinds, tweak, turn)
-        if hexes == all(c in HEX for c in body) and (not hexes or any(c in DIGITS for c in body)):
+        if not ascii_ or hexes == all(c in HEX for c in body) and (not hexes or any(c in DIGITS for c in body)):
             return head + body
 
 
 RULES = {"email": _email, "card": _card, "iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "secret": _secret}
+RULES["secret in scripts"] = lambda value, turn: _secret(value, turn, False)  # digits stay where their script is
 
 
 def readings(kind: str, value: str) -> list[str]:
@@ -302,22 +316,25 @@ class Pseudonyms:
 
     def text(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with pseudonyms, as long as before but for addresses and
-        short dates, and how many values of each kind it held."""
+        short dates, and how many values of each kind it held. Digits of any
+        script are read by their value and written back in their script."""
         counts: dict[str, int] = {}
         if not WORTH.search(text):
             return text, counts
         out, upto, at = [], 0, 0
-        while found := PATTERN.search(text, at):
+        plain = text if text.isascii() else FOREIGN.sub(lambda m: str(int(m.group())), text)
+        while found := PATTERN.search(plain, at):
             kind, start = found.lastgroup, found.start()
             for read in readings(kind, found.group()):
-                made = self.value(kind, read)
+                raw = text[start : start + len(read)]
+                made = self.value(kind if raw == read or kind != "secret" else "secret in scripts", read)
                 if made is not None:
                     break
             else:  # not valid as this kind: look on behind its first character
                 at = start + 1
                 continue
             counts[kind] = counts.get(kind, 0) + 1
-            out += [text[upto:start], made]
+            out += [text[upto:start], made if raw == read else rescripted(made, raw)]
             upto = at = start + len(read)
         return ("".join([*out, text[upto:]]), counts) if out else (text, counts)
 

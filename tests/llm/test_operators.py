@@ -362,6 +362,36 @@ def test_values_before_other_numbers(value, text):
         assert pseudonyms.Pseudonyms(b"%d" % key, back=True).text(made)[0] == text
 
 
+SCRIPTS = ["٠١٢٣٤٥٦٧٨٩", "۰۱۲۳۴۵۶۷۸۹", "०१२३४५६७८९", "０１２３４５６７８９", "𝟎𝟏𝟐𝟑𝟒𝟓𝟔𝟕𝟖𝟗"]
+
+
+@pytest.mark.parametrize("digits", SCRIPTS)
+def test_digits_of_all_scripts(digits):
+    there, back = str.maketrans("0123456789", digits), str.maketrans(digits, "0123456789")
+    for key in (b"k", b"l", b"m"):
+        names = pseudonyms.Pseudonyms(key)
+        for value, kind in (
+            ("+966 50 123 4567", "phone"), ("15/03/2024", "date"), ("3/4/1999", "date"), ("2024-03-15", "date"), ("10.0.0.1", "ip"),
+            ("4111 1111 1111 1111", "card"), ("4111111111111111 123", "card"), ("123-45-6789", "ssn"), ("a.b7@c.example.org", "email"),
+            ("DE89 3704 0044 0532 0130 00", "iban"), ("password=abcdef0123456789", "secret"),
+        ):
+            text = f"é: {value.translate(there)} 7"
+            made, counts = names.text(text)
+            assert counts == {kind: 1} and made != text and not re.search("[0-9]", made[:-2])
+            assert pseudonyms.Pseudonyms(key, back=True).text(made)[0] == text
+            if kind != "secret":  # the same value in another script
+                assert made.translate(back) == names.text(f"é: {value} 7")[0]
+    assert names.text("٤١١١١١١١١١١١١١١٢ ٣١/٣١/٢٠٢٠") == ("٤١١١١١١١١١١١١١١٢ ٣١/٣١/٢٠٢٠", {})
+
+
+def test_scripts_in_one_value():
+    text = "4111 1111 ١١١١ 1111, 15/٠٣/2024, token=ab12cd34٥٦"
+    made, counts = pseudonyms.Pseudonyms(b"k").text(text)
+    assert counts == {"card": 1, "date": 1, "secret": 1} and len(made) == len(text)
+    assert list(map(len, re.findall("[٠-٩]+", made))) == [4, 2, 2]
+    assert pseudonyms.Pseudonyms(b"k", back=True).text(made)[0] == text
+
+
 def test_equal_values_stay_linked(spark, docs):
     rows = docs + ODD + [(5000, f"x {PERSONAL}"), (5001, f"y\n{PERSONAL}")]
     made = pseudonyms.pseudonymise(table(spark, rows).selectExpr("*", "1 as n_values"), b"k")
