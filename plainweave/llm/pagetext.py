@@ -27,7 +27,6 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
-LABEL = re.compile(r"[a-z]+")
 
 # Element names of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -36,7 +35,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr img input".split()
 )
-OUTSIDE = frozenset("head nav footer aside form button select option menu menuitem dialog fieldset datalist".split())
+OUTSIDE = frozenset("head nav footer aside button select option menu menuitem dialog datalist".split())
+DOUBTFUL = frozenset(["form", "fieldset"])
 ENDS = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
@@ -44,6 +44,7 @@ ENDS = {
 }
 LISTS = frozenset("ul ol dl table body article main section div".split())
 ARTICLE = frozenset(["article", "main"])
+MOST = 4  # times the text beside it
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tr td th p".split())
 NOISE = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert adverts advertisement "
@@ -55,12 +56,16 @@ NOISE = frozenset(
 
 
 class Node:
-    __slots__ = ("tag", "label", "noise", "article")
+    """An element: `outside` says that it is no part of the text, `noise` that its
+    names speak against it."""
+
+    __slots__ = ("tag", "label", "noise", "outside", "hidden", "article")
 
     def __init__(self, tag: str, rest: str, inside: bool):
         self.tag = tag
         self.article = tag in ARTICLE
-        self.label, self.noise = tag, tag in OUTSIDE or (tag == "header" and not inside)
+        self.label, self.hidden = tag, False
+        self.noise = tag in DOUBTFUL or (tag == "header" and not inside)
         if len(rest) > 1:
             for name, *values in ATTRIBUTE.findall(rest):
                 name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
@@ -68,12 +73,13 @@ class Node:
                     if value == "main":
                         self.article = True
                     self.label += f".{value}" if name == "class" else ""
-                    if tag not in ("html", "body", "article", "main") and NOISE.intersection(LABEL.findall(value)):
+                    if tag not in ("html", "body", "article", "main") and NOISE.intersection(value.split()):
                         self.noise = True
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                    self.noise = True
+                    self.hidden = True
                 elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                    self.noise = True
+                    self.hidden = True
+        self.outside = self.hidden or tag in OUTSIDE
 
 
 def blocks(page: str) -> list[tuple[tuple[Node, ...], str]]:
@@ -81,13 +87,16 @@ def blocks(page: str) -> list[tuple[tuple[Node, ...], str]]:
     found: list[tuple[tuple[Node, ...], str]] = []
     stack: list[Node] = []
     text: list[str] = []
+    marked, plainly = 0, False  # end of an inline element with a name of noise; text outside such
 
     def close():
+        nonlocal plainly
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             text.clear()
-            if joined:
+            if joined and plainly:
                 found.append((tuple(stack), joined))
+        plainly = False
 
     at, size = 0, len(page)
     while at < size:
@@ -96,10 +105,12 @@ def blocks(page: str) -> list[tuple[tuple[Node, ...], str]]:
         plain = token.group(4)
         if plain is not None:
             text.append(plain)
+            plainly = plainly or (at > marked and not plain.isspace())
             continue
         if token.group(2) is None:
             if token.group().startswith("<![CDATA["):
                 text.append(html.escape(token.group()[9:].removesuffix("]]>")))
+                plainly = plainly or at > marked
             continue
         tag, rest = token.group(2).lower(), token.group(3)
         if token.group(1):
@@ -122,9 +133,14 @@ def blocks(page: str) -> list[tuple[tuple[Node, ...], str]]:
             continue
         if tag in INLINE:
             node = Node(tag, rest, True) if len(rest) > 1 else None
-            if node is not None and node.noise and not rest.endswith("/>") and tag not in VOID:
-                # a hidden or marked inline element is left out with its content
-                at = _after(page, at, tag)
+            if node is not None and (node.hidden or node.noise) and not rest.endswith("/>") and tag not in VOID:
+                # a hidden inline element is left out with its content, one with
+                # a name of noise if nothing else stands in its block
+                end = _after(page, at, tag)
+                if node.hidden:
+                    at = end
+                else:
+                    marked = max(marked, end)
             continue
         close()
         if tag in VOID:
@@ -154,6 +170,41 @@ def _after(page: str, at: int, tag: str) -> int:
     return at  # never closed: only the mark is left out
 
 
+def counted(found: list[tuple[tuple[Node, ...], str]]) -> list[tuple[tuple[Node, ...], str]]:
+    """Blocks outside elements that their names call noise. A name does not count
+    for an element around the article, or around most of the text where no other
+    article is: a form around the page, a wrapper named after its sidebar."""
+    found = [(nodes, text) for nodes, text in found if not any(n.outside for n in nodes)]
+    while True:
+        clean = [(nodes, text) for nodes, text in found if not any(n.noise for n in nodes)]
+        other = any(n.article for nodes, _ in clean for n in nodes)
+        articles = set() if other else {id(n) for nodes, _ in found for n in nodes if n.article}
+        sizes: dict[int, list] = {}  # of the outermost noise: element, its text, what it is in, whether around an article
+        for nodes, text in found:
+            k = next((k for k, n in enumerate(nodes) if n.noise), None)
+            if k is not None:
+                scope = next((n for n in reversed(nodes[:k]) if n.article), None)
+                entry = sizes.setdefault(id(nodes[k]), [nodes[k], 0, scope, False])
+                entry[1] += len(text)
+                entry[3] = entry[3] or any(id(n) in articles for n in nodes[k:])
+        held: dict[int | None, list[int]] = {}  # all and clean text of the page and of its articles
+        for nodes, text in found:
+            free = not any(n.noise for n in nodes)
+            for at in {None, *(id(n) for n in nodes if n.article)}:
+                entry = held.setdefault(at, [0, 0])
+                entry[0] += len(text)
+                entry[1] += len(text) * free
+        wrong = []
+        for node, size, scope, around in sizes.values():
+            total, free = held[None if scope is None else id(scope)]
+            if around or ((scope is not None or not other) and 2 * size > total and size >= MOST * free):
+                wrong.append(node)
+        if not wrong:
+            return clean
+        for node in wrong:
+            node.noise = False
+
+
 def smoothed(values: list[float]) -> list[float]:
     n = len(values)
     return [
@@ -168,7 +219,7 @@ def spread(values: list[float]) -> float:
 
 def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by line breaks; empty if there is none."""
-    found = [(nodes, text) for nodes, text in blocks(page or "") if not any(n.noise for n in nodes)]
+    found = counted(blocks(page or ""))
     if not found:
         return ""
     paths: dict[tuple[str, ...], list[float]] = {}

@@ -486,6 +486,26 @@ def test_main_text(page, text):
     assert pagetext.main_text(page) == text
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article>"
+WHOLE = f"Title\n{LONG.strip()}\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("page, text", [
+    *((f"<body><ul class=menu><li>a</ul><{e}>{ARTICLE}<div class=sidebar><p>{LONG}</p></div></{e.split()[0]}><footer>f</footer></body>", WHOLE)
+      for e in ('div class="content-sidebar-wrap"', 'div class="has-sidebar"', 'div id="content" class="no-sidebar"', 'div class="sidebar"',
+                'div class="search-results"', 'form id="aspnetForm"', 'div class="header"', 'fieldset')),
+    (f"<body><form id=f><div class=menu>Home, news.</div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></form></body>", WHOLE),
+    (f"<article><h1 class=page-header>Title</h1><p>{LONG}</p><p>{LONG}</p></article>", WHOLE),
+    ("<article><p>One <span class=search>found</span> and <b class=search-highlight>more</b>.</p><p><a class=share>Share</a></p></article>",
+     "One found and more."),
+    (f"<body>{ARTICLE}<div class=comments><article><p>{LONG * 4}</p></article></div><form><p>{LONG * 9}</p></form></body>", WHOLE),
+    (f"<main><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class=comments><p>{LONG * 5}</p></div></main>", WHOLE),
+    (f"<body><nav><p>{LONG}</p></nav><div hidden>{ARTICLE}</div></body>", ""),
+])
+def test_names_are_no_verdict(page, text):
+    assert pagetext.main_text(page) == text
+
+
 def test_pages_with_odd_columns(spark):
     pages = spark.createDataFrame([(1, "<p>a, b.</p>", "t", 3), (2, None, None, None)], "page_id long, html string, text string, n_chars int")
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in pagetext.extract(pages).collect()}
