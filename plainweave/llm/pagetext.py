@@ -2,9 +2,10 @@
 
 All text of a page is gathered by root-to-leaf tag path. Each path has the
 text and the punctuation its nodes hold on average; both ratios are smoothed
-over neighbouring paths, fused, and paths above a threshold are content. What
-stands in the article around content paths, such as headings, goes with it;
-paths through menus, forms, notices and the like never count.
+over neighbouring paths, fused, and paths above a threshold are content, inside
+an article element too. Headings, lists and the like that stand in the article
+beside content go with it. Menus and the like never count, nor do elements
+named after notices, comments and so on, unless they hold the article.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ ENDS = {
 LISTS = frozenset("ul ol dl table body article main section div".split())
 ARTICLE = frozenset(["article", "main"])
 MOST = 4  # times the text beside it
-BESIDE = frozenset("h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tr td th p".split())
+BESIDE = frozenset("header hgroup h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tr td th p".split())
 NOISE = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert adverts advertisement "
     "advertising sponsor sponsored banner cookie cookies consent gdpr notice notices alert popup modal overlay promo "
@@ -241,7 +242,7 @@ def main_text(page: str | None) -> str:
     content = {key for key, f in zip(paths, fused) if f >= limit and f > 0}
     if not content:
         return ""
-    # the article that holds most of the content, or else the common parent
+    # what content stands in: the articles that hold most of it, or else the common parent
     weight: dict[tuple[int, ...], int] = {}
     for (nodes, text), key in zip(found, keys):
         if key in content:
@@ -249,20 +250,35 @@ def main_text(page: str | None) -> str:
             at = tuple(id(n) for n in nodes[: outer + 1])
             weight[at] = weight.get(at, 0) + len(text)
     articles = {at for at in weight if at}
-    if articles and sum(weight[a] for a in articles) * 2 >= sum(weight.values()):
-        kept = [t for nodes, t in found if any(tuple(id(n) for n in nodes[: k + 1]) in articles for k in range(len(nodes)))]
-        return "\n".join(kept)
-    chosen = [nodes for (nodes, _), key in zip(found, keys) if key in content]
-    common = chosen[0][:-1] if chosen[0] else ()
-    for nodes in chosen:
-        k = 0
-        while k < len(common) and k < len(nodes) and common[k] is nodes[k]:
-            k += 1
-        common = common[:k]
+    if sum(weight[a] for a in articles) * 2 >= sum(weight.values()):
+        tops = {len(a) for a in articles}
+
+        def depth(nodes) -> int | None:
+            return next((k for k in tops if tuple(id(n) for n in nodes[:k]) in articles), None)
+
+        depths = [depth(nodes) for nodes, _ in found]
+    else:
+        chosen = [nodes for (nodes, _), key in zip(found, keys) if key in content]
+        common = chosen[0][:-1] if chosen[0] else ()
+        for nodes in chosen:
+            k = 0
+            while k < len(common) and k < len(nodes) and common[k] is nodes[k]:
+                k += 1
+            common = common[:k]
+        k = len(common)
+        depths = [k if len(nodes) >= k and all(a is b for a, b in zip(common, nodes)) else None for nodes, _ in found]
+        articles = set()
+    # what holds content is no border for what stands beside it
+    around = {id(n) for (nodes, _), key, k in zip(found, keys, depths) if key in content and k is not None for n in nodes[k:]}
     kept = []
-    for (nodes, text), key in zip(found, keys):
-        under = len(nodes) >= len(common) and all(a is b for a, b in zip(common, nodes))
-        if key in content or (under and nodes[len(common) :] and all(n.tag in BESIDE for n in nodes[len(common) :])):
+    for (nodes, text), key, k in zip(found, keys, depths):
+        if k is None:
+            if key in content and not articles:
+                kept.append(text)
+            continue
+        inner = [n for n in nodes[k:] if id(n) not in around]
+        beside = all(n.tag in BESIDE for n in inner) and (inner or (articles and len(nodes) == k))
+        if key in content or beside or (nodes[k:] and nodes[-1].tag == "h1"):
             kept.append(text)
     return "\n".join(kept)
 

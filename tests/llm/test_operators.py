@@ -506,6 +506,19 @@ def test_names_are_no_verdict(page, text):
     assert pagetext.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    *((f"<body><{e}><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><ul><li>Point</ul><div class={c}><ul><li><a>One</a><li><a>Two</a></ul></div>"
+       f"<p class=end>End.</p><div class={c}>Anzeige</div></{e.split()[0]}></body>", WHOLE + "\nPoint\nEnd.")
+      for e in ("article", "main", "div role=main") for c in ("kommentare", "outbrain", "werbung")),
+    (f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class=kommentare><h3>Kommentare</h3><p>Nice.</p></div></article>", WHOLE),
+    (f"<article><div class=article-header><h1>Title</h1></div><section><p>{LONG}</p></section><section><h2>Next</h2><p>{LONG}</p></section>"
+     "<div class=kommentare><p>Nice.</p></div></article>", f"Title\n{LONG.strip()}\nNext\n{LONG.strip()}"),
+    (f"<body><div class=teaser>Read on</div><article><h1>Title</h1><div><p>{LONG}</p><p>{LONG}</p></div></article></body>", WHOLE),
+])
+def test_ratios_decide_in_articles(page, text):
+    assert pagetext.main_text(page) == text
+
+
 def test_pages_with_odd_columns(spark):
     pages = spark.createDataFrame([(1, "<p>a, b.</p>", "t", 3), (2, None, None, None)], "page_id long, html string, text string, n_chars int")
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in pagetext.extract(pages).collect()}
