@@ -104,3 +104,33 @@ def test_model_tells_good_from_bad(spark):
     pages = spark.createDataFrame([(u,) for u in good + bad + new], "url string")
     got = {r["url"]: r["verdict"] for r in urls.judge(pages, rules).collect()}
     assert [got[u] for u in new] == ["allow", "block"]
+
+
+def test_real_headers_and_licence_files(spark):
+    notices = dict(licences.NOTICES)
+    import textwrap
+
+    def comment(text, mark="# "):
+        return "\n".join(mark + line for line in textwrap.wrap(text, 68))
+
+    gpl = notices["GPL-3.0"].replace(" This program is distributed", "\n\nThis program is distributed").replace(" You should", "\n\nYou should")
+    wrapped = "\n#\n".join(comment(p) for p in gpl.split("\n\n"))
+    plain = [(f"plain/{k}.c", f"int f{k}(void) {{ return it_as_by({k}); }} // the work of a name as it is by the file and of use {k}") for k in range(30)]
+    files = spark.createDataFrame(
+        [
+            ("a.py", f"#!/usr/bin/python\n# A tool that sorts apples.\n#\n# Copyright (C) 2020 Some Body\n#\n{wrapped}\nimport os\n\nprint(1)\n"),
+            ("b.c", "/*\n * Copyright 2020 Some Body\n *\n" + comment(notices["Apache-2.0"], " * ") + "\n */\nint main() {}\n"),
+            ("c.js", "/*\n" + "\n".join(textwrap.wrap(notices["MPL-2.0"], 60)) + "\n*/\nvar x = 1"),
+            ("d/LICENSE", "MIT License\n\nCopyright (c) 2020 Some Body\n\n" + "\n".join(textwrap.wrap(notices["MIT"], 70))), ("d/e.c", "int x;"),
+            ("f/COPYING", licences.WHOLE["GPL-3.0"]), ("g/COPYING", licences.WHOLE["LGPL-3.0"]), ("h/x.c", comment(notices["BSD-2-Clause"], "// ")),
+            ("i/x.c", "int main() {}\n" + comment("Sort the apples by size and print them", "// ")), ("j/x", None), *plain,
+        ],
+        "path string, text string",
+    )
+    got = {r["path"]: (r["licence"], r["origin"]) for r in licences.scan(files).collect()}
+    assert {p: got[p] for p in got if not p.startswith("plain/")} == {
+        "a.py": ("GPL-3.0", "own"), "b.c": ("Apache-2.0", "own"), "c.js": ("MPL-2.0", "own"), "d/LICENSE": ("MIT", "own"),
+        "d/e.c": ("MIT", "inherited"), "f/COPYING": ("GPL-3.0", "own"), "g/COPYING": ("LGPL-3.0", "own"),
+        "h/x.c": ("BSD-2-Clause", "own"), "i/x.c": (None, None), "j/x": (None, None),
+    }
+    assert len(got) == 40 and all(got[p] == (None, None) for p, _ in plain)
