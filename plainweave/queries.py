@@ -174,10 +174,23 @@ def baseline_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def last_turn(spark: SparkSession, sf: str) -> DataFrame:
     """Last turn of every conversation: numbers are aggregated, texts joined to
-    them, so that no text is sorted."""
-    turns = table(spark, sf, "conversations")
-    ends = turns.groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    return turns.join(ends, PAIR_KEYS).select("conv_id", "role", F.col("text").alias("content"))
+    them, so that no text is sorted. Of rows that share the last turn the one
+    with the largest digest stays; only rows that repeat as a whole are
+    reduced after the join."""
+    turns = table(spark, sf, "conversations").select(
+        "conv_id", "turn", "role", F.col("text").alias("content"), F.xxhash64("role", "text").alias("digest")
+    )
+    places = turns.groupBy("conv_id", "turn", "digest").agg(F.count(F.lit(1)).alias("n"))
+    ends = places.groupBy("conv_id").agg(F.max(F.struct("turn", "digest", "n")).alias("e")).select(
+        F.col("conv_id").alias("end_conv"), F.col("e.turn").alias("end_turn"), F.col("e.digest").alias("end_digest"), "e.n"
+    )
+    same = (
+        F.col("conv_id").eqNullSafe(F.col("end_conv")) & F.col("turn").eqNullSafe(F.col("end_turn"))
+        & (F.col("digest") == F.col("end_digest"))
+    )
+    last = turns.join(ends, same).select("conv_id", "role", "content", "n")
+    repeated = last.where("n > 1").dropDuplicates(["conv_id"])
+    return last.where("n = 1").unionByName(repeated).drop("n")
 
 
 def answer_content(spark: SparkSession, sf: str) -> DataFrame:

@@ -29,3 +29,17 @@ def test_same_as_sql(name, spark, sf, duck):
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert {r["split"] for r in rows} == {"train", "val", "test"}
+
+
+def test_last_turn_of_null_and_repeated_rows(spark, tmp_path):
+    from plainweave.queries import QUERIES
+
+    rows = [
+        (None, 1, "user", "a"), (None, 2, "user", "b"), (1, None, "user", "c"), (2, 1, "user", "d"), (2, 3, "user", "e"),
+        (2, 3, "user", "e"), (3, 1, "user", "f"), (3, 1, "assistant", "g"), (4, None, "user", "h"), (4, 0, "user", None),
+    ]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [tuple(r) for r in QUERIES["last_turn"](spark, str(tmp_path)).select("conv_id", "content").collect()]
+    assert len(got) == 5 and len({i for i, _ in got}) == 5
+    found = dict(got)
+    assert found.pop(3) in "fg" and found == {None: "b", 1: "c", 2: "e", 4: None}
