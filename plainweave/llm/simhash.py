@@ -229,6 +229,13 @@ def near_duplicates(
     input, whatever their names, play no part.
     """
     prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
+    ids = stage(_components(prints, id_col, max_bits, part_rows).select("fp", "component_id"))
+    return prints.join(ids, "fp").select(id_col, "fp", "component_id")
+
+
+def _components(prints: DataFrame, id_col: str, max_bits: int, part_rows: int) -> DataFrame:
+    """root (a fingerprint that stands for the component) and component_id of
+    every fingerprint `fp`."""
     nodes = stage(prints.groupBy("fp").agg(F.min(id_col).alias("first")))
     roots = stage(components(links(nodes.select("fp"), max_bits, part_rows)))
     named = stage(
@@ -236,19 +243,31 @@ def near_duplicates(
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
     owners = stage(named.groupBy("root").agg(F.min("first").alias("component_id")))
-    ids = stage(named.join(owners, "root").select("fp", "component_id"))
-    return prints.join(ids, "fp").select(id_col, "fp", "component_id")
+    return named.join(owners, "root").select("fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component; of rows
-    that repeat an id, one. Rows with a null id stay, as nothing names them."""
-    found = near_duplicates(docs, id_col, text_col, **settings)
-    chosen = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    rows = docs.join(chosen, id_col).select(*docs.columns)
-    place = "_place"
-    while place in docs.columns:
-        place += "_"
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    once = rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """One row of every component: the first by id, fingerprint and digest of
+    its text, so that an id on different texts loses none of their groups. Rows
+    with a null id stay, as nothing names them."""
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"))
+    prints = stage(fingerprints(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", shingle_words))
+    prints = prints.select(F.col("key.id").alias("id"), F.col("key.digest").alias("digest"), "fp")
+    ids = stage(_components(prints.select("id", "fp"), "id", max_bits, part_rows).select("fp", "root"))
+    first = F.min(F.struct("id", "fp", "digest")).alias("f")
+    chosen = prints.where(F.col("id").isNotNull()).join(ids, "fp").groupBy("root").agg(first).select("f.id", "f.digest")
+    names = {c: f"_{n}" for n, c in enumerate(docs.columns)}
+    rows = docs.withColumnsRenamed(names).withColumn("_digest", F.xxhash64(names[text_col]))
+    own = names[id_col]
+    joined = rows.join(chosen, (F.col(own) == F.col("id")) & (F.col("_digest") == F.col("digest")))
+    order = Window.partitionBy(own, "_digest").orderBy("_digest")
+    once = joined.withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1)
+    kept = once.select(*[F.col(names[c]).alias(c) for c in docs.columns])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))

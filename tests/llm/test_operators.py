@@ -245,6 +245,12 @@ def test_one_of_each_group_stays(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_ids_on_two_texts_lose_no_group(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "g h i j k l"), (3, "g h i j k l"), (2, "m n o p q r"), (2, "m n o p q r")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in kept) == [(1, "a b c d e f"), (2, "g h i j k l"), (2, "m n o p q r")]
+
+
 # --- decontamination ---------------------------------------------------------------
 
 
