@@ -2,7 +2,8 @@
 
 Every slice of documents is a shard with a suffix array over its words, held
 as numbers of the benchmark's vocabulary. Each suffix of each benchmark item
-is looked up in it by binary search; matches on one diagonal are joined into
+of at least a window is looked up in it, to the window's length, by binary
+search; matches on one diagonal are joined into
 longest verbatim matches with their places. A document's result is found in
 its own shard, so documents are never shuffled.
 """
@@ -23,6 +24,7 @@ from plainweave.operators.staging import stage
 
 WINDOW = 13
 BLOCK_CHARS = 16 << 20
+SLOTS = 1 << 14
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {a: a + 32 for a in range(0x41, 0x5B)}
 SEED = 13
@@ -210,6 +212,33 @@ def _judged(keep: list[str], share: int):
     return run
 
 
+def _blocks(items: DataFrame, block_chars: int) -> list:
+    """Conditions that cut distinct items (t and its hash h) into blocks of at
+    most `block_chars` characters, or one item if that is longer."""
+
+    def runs(sizes):
+        first, held = None, 0
+        for at, size in sizes:
+            if first is not None and held + size > block_chars:
+                yield first, last, held
+                first, held = None, 0
+            first, last, held = at if first is None else first, at, held + size
+        if first is not None:
+            yield first, last, held
+
+    slot = F.pmod("h", F.lit(SLOTS))
+    length = F.sum(F.length("t"))
+    slots = sorted(tuple(r) for r in items.groupBy(slot.alias("s")).agg(length).collect())
+    out = []
+    for first, last, held in runs(slots):
+        if held <= block_chars:
+            out.append(slot.between(first, last))
+            continue
+        for a, b, _ in runs(sorted(tuple(r) for r in items.where(slot == first).groupBy("h").agg(length).collect())):
+            out.append((slot == first) & F.col("h").between(a, b))
+    return out or [F.lit(False)]
+
+
 def find_matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -235,22 +264,22 @@ def find_matches(
     spark = docs.sparkSession
     items = benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("i"), F.col(item_text_col).alias("t")
-    ).where(F.col("t").isNotNull())
-    size = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = size // block_chars + 1
+    ).where(F.col("t").isNotNull()).distinct()
+    items = stage(items.withColumn("h", F.xxhash64("i", "t")))
+    blocks = _blocks(items, block_chars)
     keep = [c for c in docs.columns if c not in COLUMNS]
     base = T.StructType([docs.schema[c] for c in keep])
     schema = T.StructType([*base.fields, T.StructField("n_words", T.LongType())])
     schema = schema.add("matches", T._parse_datatype_string(MATCH))
     rows = docs.select(*keep)
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
+    for k, inside in enumerate(blocks):
+        block = items.where(inside).collect()
         tests = spark.sparkContext.broadcast(TestItems([(r["i"], r["t"]) for r in block], window))
         names = list(rows.columns)
         rows = rows.mapInArrow(
             lambda it, tests=tests, names=names: _scan(tests, window, names, text_col)(it), schema
         )
-        if k < blocks - 1:
+        if k < len(blocks) - 1:
             rows = stage(rows)
     out = base
     for name, kind in (("n_words", "long"), ("n_hit", "long"), ("n_items", "long"), ("items_sha256", "string"),

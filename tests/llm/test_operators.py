@@ -301,6 +301,19 @@ def test_longest_matches_have_their_places(spark):
     assert got[0]["longest"] == 30 and got[1]["matches"] == []
 
 
+def test_repeated_items_take_no_room(spark, monkeypatch):
+    sizes, plain = [], decontaminate.TestItems.__init__
+
+    def noted(self, items, window):
+        sizes.append(sum(len(t) for _, t in items))
+        plain(self, items, window)
+
+    monkeypatch.setattr(decontaminate.TestItems, "__init__", noted)
+    rows = [(1, "x y " * 30)] * 50 + [(k, f"word{k} " * 5) for k in range(2, 8)]
+    decontaminate.find_matches(table(spark, [(1, "a")]), table(spark, rows, "item_id long, text string"), block_chars=130).collect()
+    assert max(sizes) <= 130 and sum(sizes) == 120 + sum(len(t) for _, t in rows[50:])
+
+
 def test_contamination_on_odd_tables(spark, items):
     docs = spark.createDataFrame([(1, items[0][1], 5, "m"), (2, None, 6, None)], "doc_id long, text string, n_words int, matches string")
     empty = table(spark, [], "item_id long, text string")
