@@ -6,7 +6,7 @@ compare those with plain versions.
 
 from __future__ import annotations
 
-from plainweave.llm import licences, urls
+from plainweave.llm import licences, lines, urls
 from plainweave.llm.queries import URL_RULES
 
 
@@ -153,4 +153,24 @@ def url_filter() -> str:
     """
 
 
-ORACLES: dict[str, str] = {"op1_license_scans": licence_scan(), "op3_url_filters": url_filter()}
+def line_dedup() -> str:
+    """Every line with the documents that hold its key."""
+    space = " || ".join(f"chr({ord(c)})" for c in lines.SPACE)
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS held FROM documents),
+    every AS (SELECT r, doc_id, unnest(held) AS line, unnest(range(len(held))) AS k FROM docs),
+    keyed AS (SELECT *, translate(trim(line, {space}), '{lines.UPPER}', '{lines.LOWER}') AS key FROM every),
+    owners AS (
+      SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= {lines.MIN_CHARS} GROUP BY key
+      HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) >= {lines.MIN_DOCUMENTS}),
+    judged AS (
+      SELECT r, doc_id, k, line, owner IS NOT NULL AND doc_id IS DISTINCT FROM owner AS dropped FROM keyed LEFT JOIN owners USING (key))
+    SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, sum(dropped::INT)::BIGINT AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM judged GROUP BY r
+    """
+
+
+ORACLES: dict[str, str] = {
+    "op1_license_scans": licence_scan(), "op3_url_filters": url_filter(), "op11_line_dedup": line_dedup(),
+}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plainweave.llm import blocks, decontaminate, licences, pagetext, pieces, placement, pseudonyms, quality, simhash, urls
+from plainweave.llm import blocks, decontaminate, licences, lines, pagetext, pieces, placement, pseudonyms, quality, simhash, urls
 from plainweave.sources.tables import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -85,6 +85,11 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return pagetext.extract(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = lines.drop_repeated(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,6 +100,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scans, op2_quality_rules, op3_url_filters, op4_substring_dedup, op5_sentencepiece,
-        op6_simhash_near_dedup, op7_pii, op8_sharding, op9_benchmark_decontamination, op10_html_extraction, pipeline,
+        op6_simhash_near_dedup, op7_pii, op8_sharding, op9_benchmark_decontamination, op10_html_extraction,
+        op11_line_dedup, pipeline,
     )
 }
