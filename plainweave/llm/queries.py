@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plainweave.llm import blocks, decontaminate, licences, lines, pagetext, pieces, placement, pseudonyms, quality, simhash, urls, whitening
+from plainweave.llm import blocks, conversations, decontaminate, licences, lines, pagetext, pieces, placement, pseudonyms
+from plainweave.llm import quality, simhash, urls, whitening
 from plainweave.sources.tables import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -90,6 +91,11 @@ def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    given = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.Repair(conversations.damage(given), given).digests()
+
+
 def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     made = whitening.coordinates(vectors, "embedding").withColumn("deviation", F.col("deviation").try_cast("long"))
@@ -107,6 +113,6 @@ QUERIES = {
     for f in (
         op1_license_scans, op2_quality_rules, op3_url_filters, op4_substring_dedup, op5_sentencepiece,
         op6_simhash_near_dedup, op7_pii, op8_sharding, op9_benchmark_decontamination, op10_html_extraction,
-        op11_line_dedup, op13_embedding_whitening, pipeline,
+        op11_line_dedup, op12_conversation_repair, op13_embedding_whitening, pipeline,
     )
 }

@@ -140,6 +140,8 @@ def components(v: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     """The greatest `wanted` eigenvalues of a covariance, falling, and their
     unit eigenvectors as columns, each with its greatest entry positive. Spaces
     whose eigenvalues all come after the wanted ones are not split."""
+    if len(v) == 0:
+        return np.zeros(0), np.zeros((0, 0))
     v = (v + v.T) / 2
     scale = np.linalg.norm(v)
     found: list[np.ndarray] = []
@@ -157,7 +159,7 @@ def components(v: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
             found.append(basis)
         else:
             open_ += [basis @ parts[1], basis @ parts[0]]
-    vectors = np.linalg.qr(np.hstack(found))[0] if found else np.zeros((len(v), 0))
+    vectors = np.linalg.qr(np.hstack(found))[0]
     values = np.einsum("ij,ij->j", vectors, v @ vectors)
     order = np.argsort(-values, kind="stable")[:wanted]
     vectors, values = vectors[:, order], values[order]
