@@ -86,21 +86,22 @@ def drop_repeated(
     whatever their names.
     """
     lines = stage(_lines(_rows(docs, id_col, text_col), min_chars))
-    shared = repeated(lines, min_documents)
-    # a line in a third of all documents is split by adaptive execution here,
-    # as no aggregation stands above the join
+    # written, so that both sides of the join are plain shuffles, in which
+    # adaptive execution splits a line that a third of all documents hold
+    shared = stage(repeated(lines, min_documents))
     lost = lines.join(shared, ["g", "h"]).where(~F.col("id").eqNullSafe(F.col("owner")))
     gone = lost.groupBy("id", "tg", "th").agg(F.array_sort(F.collect_set("position")).alias("gone"))
 
-    own = docs.select(F.struct(*[F.col(c).alias(c) for c in docs.columns]).alias("row"))
-    text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
-    own = own.select("row", text.alias("text"), F.col("row").getField(id_col).alias("doc"))
+    names = [c for c in docs.columns if c not in (text_col, *NEW)]  # the text travels once
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = docs.select(F.struct(*[F.col(c).alias(c) for c in dict.fromkeys([id_col, *names])]).alias("row"), text.alias("text"))
+    own = own.withColumn("doc", F.col("row").getField(id_col))
     own = own.select("*", *[d.alias(f"o{n}") for d, n in zip(digest(F.col("text")), "gh")])
     same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("og") == F.col("tg")) & (F.col("oh") == F.col("th"))
     joined = own.join(gone, same, "left").select("row", "text", "gone", split(F.col("text")).alias("lines"))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(without(F.col("lines"), F.col("gone")), "\n"))
     fields = [
-        (kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns if c not in NEW
+        (kept if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns if c == text_col or c not in NEW
     ]
     return joined.select(
         *fields, F.size("lines").cast("long").alias("n_lines"),
