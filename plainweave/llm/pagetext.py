@@ -16,6 +16,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plainweave.llm import words as W
@@ -31,10 +32,13 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：¿¡]")
 
 # Element names of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template svg math iframe object canvas audio video xmp".split())
+RAW = frozenset("script style textarea title xmp".split())  # hold no elements
+CODE = frozenset(["script", "style"])
+EMBEDDED = frozenset("noscript template svg iframe object canvas audio video".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data dfn del em font i ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr img input".split()
+    "span strike strong sub sup time tt u var wbr img input math mfrac mi mn mo mover mroot mrow ms msqrt mstyle "
+    "msub msubsup msup mtext munder munderover".split()
 )
 OUTSIDE = frozenset("head nav footer aside button select option menu menuitem dialog datalist".split())
 DOUBTFUL = frozenset(["form", "fieldset"])
@@ -44,6 +48,7 @@ ENDS = {
     "option": frozenset(["option"]),
 }
 LISTS = frozenset("ul ol dl table body article main section div".split())
+LISTED = frozenset("ul ol dl table".split())
 ARTICLE = frozenset(["article", "main"])
 MOST = 4  # times the text beside it
 BESIDE = frozenset("header hgroup h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre figure figcaption table thead tbody tr td th p".split())
@@ -57,153 +62,224 @@ NOISE = frozenset(
 
 
 class Node:
-    """An element: `outside` says that it is no part of the text, `noise` that its
-    names speak against it."""
+    """An element of a page, with the one it is in. `path` numbers the labels
+    from the root to it. `outside` says that it is no part of the text, `noise`
+    that its names speak against it."""
 
-    __slots__ = ("tag", "label", "noise", "outside", "hidden", "article")
+    __slots__ = ("tag", "above", "path", "noise", "outside", "hidden", "article", "top")
 
-    def __init__(self, tag: str, rest: str, inside: bool):
+    def __init__(self, tag: str, rest: str, above: "Node | None", paths: dict[tuple[int, str], int]):
         self.tag = tag
+        self.above = above
         self.article = tag in ARTICLE
-        self.label, self.hidden = tag, False
-        self.noise = tag in DOUBTFUL or (tag == "header" and not inside)
+        self.hidden = False
+        label = tag
+        self.noise = tag in DOUBTFUL or (tag == "header" and not (above is not None and above.top is not None))
         if len(rest) > 1:
             for name, *values in ATTRIBUTE.findall(rest):
                 name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
                 if name in ("class", "id", "role"):
                     if value == "main":
                         self.article = True
-                    self.label += f".{value}" if name == "class" else ""
+                    label += f".{value}" if name == "class" else ""
                     if tag not in ("html", "body", "article", "main") and NOISE.intersection(value.split()):
                         self.noise = True
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                     self.hidden = True
                 elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     self.hidden = True
-        self.outside = self.hidden or tag in OUTSIDE
+        self.outside = self.hidden or tag in OUTSIDE or (above is not None and above.outside)
+        # the outermost article around
+        self.top = (above.top if above is not None else None) or (self if self.article else None)
+        self.path = 0 if above is None else paths.setdefault((above.path, label), len(paths) + 1)
 
 
-def blocks(page: str) -> list[tuple[tuple[Node, ...], str]]:
-    """Blocks of text in page order with the block elements around them."""
-    found: list[tuple[tuple[Node, ...], str]] = []
-    stack: list[Node] = []
-    text: list[str] = []
-    marked, plainly = 0, False  # end of an inline element with a name of noise; text outside such
+Token = tuple[int, str, str]  # kind, text or tag name, rest of the tag
+TEXT, OPEN, CLOSE = range(3)
 
-    def close():
-        nonlocal plainly
-        if text:
-            joined = " ".join(html.unescape("".join(text)).split())
-            text.clear()
-            if joined and plainly:
-                found.append((tuple(stack), joined))
-        plainly = False
 
+def tokens(page: str) -> list[Token]:
+    """Texts and tags in page order. Comments, scripts, styles and the like are
+    left out. One that is never closed hides the rest of the page if it is a
+    comment or code, as in a browser; of others only the tag is left out."""
+    found: list[Token] = []
+    unclosed: set[str] = set()
     at, size = 0, len(page)
     while at < size:
         token = TOKEN.match(page, at)
         at = token.end()
         plain = token.group(4)
         if plain is not None:
-            text.append(plain)
-            plainly = plainly or (at > marked and not plain.isspace())
-            continue
-        if token.group(2) is None:
+            found.append((TEXT, plain, ""))
+        elif token.group(2) is None:
             if token.group().startswith("<![CDATA["):
-                text.append(html.escape(token.group()[9:].removesuffix("]]>")))
-                plainly = plainly or at > marked
-            continue
-        tag, rest = token.group(2).lower(), token.group(3)
-        if token.group(1):
-            if tag in INLINE:
-                continue
-            close()
-            if tag == "br":
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag == "p" and stack[k].tag in LISTS:
+                found.append((TEXT, html.escape(token.group()[9:].removesuffix("]]>")), ""))
+        else:
+            tag, rest = token.group(2).lower(), token.group(3)
+            if token.group(1):
+                found.append((CLOSE, tag, rest))
+            elif tag not in RAW:
+                found.append((OPEN, tag, rest))
+            elif not rest.endswith("/>") and tag not in unclosed:
+                end = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in CODE:
                     break
+                else:
+                    unclosed.add(tag)
+    return found
+
+
+def closings(found: list[Token]) -> dict[int, int]:
+    """Of inline and embedded elements: place of the tag that closes each."""
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for k, (kind, tag, rest) in enumerate(found):
+        if kind == TEXT or (tag not in INLINE and tag not in EMBEDDED) or tag in VOID:
             continue
-        if tag in RAW:
+        if kind == OPEN:
             if not rest.endswith("/>"):
-                end = re.compile(rf"</{re.escape(tag)}\s*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else size
+                opened.setdefault(tag, []).append(k)
+        elif opened.get(tag):
+            ends[opened[tag].pop()] = k
+    return ends
+
+
+def blocks(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
+    """All elements, each after the one it is in, and the blocks of text in page
+    order with the innermost block element around them."""
+    found = tokens(page)
+    ends = closings(found)
+    paths: dict[tuple[int, str], int] = {}
+    stack = [Node("", "", None, paths)]
+    nodes = list(stack)
+    places: dict[str, list[int]] = {}  # of the open elements, by name
+    out: list[tuple[Node, str]] = []
+    text: list[str] = []
+    marked, plainly = -1, False  # last token of an inline element with a name of noise; text outside such
+
+    def close():
+        nonlocal plainly
+        if text:
+            joined = " ".join(html.unescape("".join(text)).split())
+            text.clear()
+            if joined and plainly:
+                out.append((stack[-1], joined))
+        plainly = False
+
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def drop(k: int) -> None:
+        """Ends all elements from place k on; the page itself, at 0, stays."""
+        for node in stack[k:]:
+            places[node.tag].pop()
+        del stack[k:]
+
+    k = -1
+    while k + 1 < len(found):
+        k += 1
+        kind, tag, rest = found[k]
+        if kind == TEXT:
+            text.append(tag)
+            plainly = plainly or (k > marked and not tag.isspace())
+            continue
+        if tag in EMBEDDED:
+            # with all it holds, if it is closed at all
+            if kind == OPEN:
+                k = ends.get(k, k)
             continue
         if tag in INLINE:
-            node = Node(tag, rest, True) if len(rest) > 1 else None
-            if node is not None and (node.hidden or node.noise) and not rest.endswith("/>") and tag not in VOID:
+            if kind == OPEN and len(rest) > 1 and k in ends:
+                node = Node(tag, rest, stack[-1], {})
                 # a hidden inline element is left out with its content, one with
                 # a name of noise if nothing else stands in its block
-                end = _after(page, at, tag)
                 if node.hidden:
-                    at = end
-                else:
-                    marked = max(marked, end)
+                    k = ends[k]
+                elif node.noise:
+                    marked = max(marked, ends[k])
             continue
         close()
+        if kind == CLOSE:
+            at = last((tag,))
+            if at and not (tag == "p" and last(LISTS) > at):
+                drop(at)
+            continue
         if tag in VOID:
             continue
-        if stack and stack[-1].tag == "p":
-            stack.pop()
-        ends = ENDS.get(tag)
-        if ends:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in ends:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("ul", "ol", "dl", "table"):
-                    break
+        if stack[-1].tag == "p":
+            drop(len(stack) - 1)
+        if tag in ENDS:
+            at = last(ENDS[tag])
+            if at and at > last(LISTED):
+                drop(at)
         if not rest.endswith("/>"):
-            stack.append(Node(tag, rest, any(n.article for n in stack)))
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(Node(tag, rest, stack[-1], paths))
+            nodes.append(stack[-1])
     close()
-    return found
-
-
-def _after(page: str, at: int, tag: str) -> int:
-    depth = 1
-    for token in re.compile(rf"<(/?){re.escape(tag)}\b[^>]*>", re.I).finditer(page, at):
-        depth += -1 if token.group(1) else 1
-        if depth == 0:
-            return token.end()
-    return at  # never closed: only the mark is left out
+    return nodes, out
 
 
-def counted(found: list[tuple[tuple[Node, ...], str]]) -> list[tuple[tuple[Node, ...], str]]:
+def counted(nodes: list[Node], found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
     """Blocks outside elements that their names call noise. A name does not count
-    for an element around the article, or around most of the text where no other
-    article is: a form around the page, a wrapper named after its sidebar."""
-    found = [(nodes, text) for nodes, text in found if not any(n.outside for n in nodes)]
-    while True:
-        clean = [(nodes, text) for nodes, text in found if not any(n.noise for n in nodes)]
-        other = any(n.article for nodes, _ in clean for n in nodes)
-        articles = set() if other else {id(n) for nodes, _ in found for n in nodes if n.article}
-        sizes: dict[int, list] = {}  # of the outermost noise: element, its text, what it is in, whether around an article
-        for nodes, text in found:
-            k = next((k for k, n in enumerate(nodes) if n.noise), None)
-            if k is not None:
-                scope = next((n for n in reversed(nodes[:k]) if n.article), None)
-                entry = sizes.setdefault(id(nodes[k]), [nodes[k], 0, scope, False])
-                entry[1] += len(text)
-                entry[3] = entry[3] or any(id(n) in articles for n in nodes[k:])
-        held: dict[int | None, list[int]] = {}  # all and clean text of the page and of its articles
-        for nodes, text in found:
-            free = not any(n.noise for n in nodes)
-            for at in {None, *(id(n) for n in nodes if n.article)}:
-                entry = held.setdefault(at, [0, 0])
-                entry[0] += len(text)
-                entry[1] += len(text) * free
-        wrong = []
-        for node, size, scope, around in sizes.values():
-            total, free = held[None if scope is None else id(scope)]
-            if around or ((scope is not None or not other) and 2 * size > total and size >= MOST * free):
-                wrong.append(node)
-        if not wrong:
-            return clean
-        for node in wrong:
-            node.noise = False
+    for elements around the articles that have the fewest such elements around
+    them, nor for an element with most of the text of its article (of the page,
+    if there is no article) if little text stands beside it: a form around the
+    page, a wrapper named after its sidebar. Every element is looked at once,
+    the inner ones first."""
+    found = [(node, text) for node, text in found if not node.outside]
+    number = {id(node): k for k, node in enumerate(nodes)}
+    above = [-1 if node.above is None else number[id(node.above)] for node in nodes]
+    inside = [0] * len(nodes)  # all text in the element
+    for node, text in found:
+        inside[number[id(node)]] += len(text)
+    clean = list(inside)
+    for k in range(len(nodes) - 1, 0, -1):
+        inside[above[k]] += inside[k]
+    articles = [k for k, node in enumerate(nodes) if node.article and inside[k]]
+    deep = [0] * len(nodes)  # names of noise around
+    for k, node in enumerate(nodes):
+        deep[k] = (deep[above[k]] if k else 0) + node.noise
+    fewest = min((deep[k] for k in articles), default=0)
+    seen = [fewest == 0] * len(nodes)
+    for k in articles:
+        if deep[k] == fewest:
+            while k and not seen[k]:
+                seen[k], nodes[k].noise = True, False
+                k = above[k]
+    return _weighed(nodes, found, above, inside, clean, bool(articles))
+
+
+def _weighed(nodes, found, above, inside, clean, any_article: bool):
+    scope = [0] * len(nodes)  # the innermost article above, or the page
+    outer = [0] * len(nodes)  # the innermost noise at or above
+    next_: dict[tuple[int, int], list[int]] = {}  # noise by scope and by the noise it is in
+    for k, node in enumerate(nodes[1:], 1):
+        up = above[k]
+        scope[k] = up if nodes[up].article else scope[up]
+        outer[k] = outer[up]
+        if node.noise:
+            next_.setdefault((scope[k], outer[k]), []).append(k)
+            outer[k] = k
+    for k in range(len(nodes) - 1, -1, -1):
+        if nodes[k].article or (k == 0 and not any_article):
+            under = outer[k]
+            while True:  # at most one holds more than half
+                most = next((e for e in next_.get((k, under), ()) if 2 * inside[e] > inside[k] and inside[e] >= MOST * clean[k]), None)
+                if most is None:
+                    break
+                nodes[most].noise = False
+                clean[k] += clean[most]
+                under = most
+        if k and not nodes[k].noise:
+            clean[above[k]] += clean[k]
+    bad = [False] * len(nodes)
+    for k, node in enumerate(nodes):
+        bad[k] = node.noise or (k > 0 and bad[above[k]])
+    place = {id(node): bad[k] for k, node in enumerate(nodes)}
+    return [(node, text) for node, text in found if not place[id(node)]]
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -220,15 +296,13 @@ def spread(values: list[float]) -> float:
 
 def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by line breaks; empty if there is none."""
-    found = counted(blocks(page or ""))
+    nodes, found = blocks(page or "")
+    found = counted(nodes, found)
     if not found:
         return ""
-    paths: dict[tuple[str, ...], list[float]] = {}
-    keys = []
-    for nodes, text in found:
-        key = tuple(n.label for n in nodes)
-        keys.append(key)
-        sums = paths.setdefault(key, [0.0, 0.0, 0.0])
+    paths: dict[int, list[float]] = {}
+    for node, text in found:
+        sums = paths.setdefault(node.path, [0.0, 0.0, 0.0])
         sums[0] += 1
         sums[1] += len(text)
         sums[2] += len(PUNCTUATION.findall(text))
@@ -239,47 +313,47 @@ def main_text(page: str | None) -> str:
     own = [math.sqrt(s[1] / s[0]) * math.sqrt(s[1]) for s in paths.values()]
     fused = [o * (1 + p) + a for o, a, p in zip(own, length, points)]
     limit = min(spread(fused) or 0.0, max(fused) / 2)
-    content = {key for key, f in zip(paths, fused) if f >= limit and f > 0}
+    content = {path for path, f in zip(paths, fused) if f >= limit and f > 0}
     if not content:
         return ""
     # what content stands in: the articles that hold most of it, or else the common parent
-    weight: dict[tuple[int, ...], int] = {}
-    for (nodes, text), key in zip(found, keys):
-        if key in content:
-            outer = next((n for n, node in enumerate(nodes) if node.article), -1)
-            at = tuple(id(n) for n in nodes[: outer + 1])
-            weight[at] = weight.get(at, 0) + len(text)
-    articles = {at for at in weight if at}
+    weight: dict[int, int] = {}
+    number = {id(node): k for k, node in enumerate(nodes)}
+    held = [0] * len(nodes)  # blocks of content in the element
+    for node, text in found:
+        if node.path in content:
+            top = 0 if node.top is None else number[id(node.top)]
+            weight[top] = weight.get(top, 0) + len(text)
+            held[number[id(node)]] += 1
+    all_held = sum(held)
+    first = next(number[id(node)] for node, _ in found if node.path in content)
+    above = [-1 if node.above is None else number[id(node.above)] for node in nodes]
+    for k in range(len(nodes) - 1, 0, -1):
+        held[above[k]] += held[k]
+    articles = {top for top in weight if top}
     if sum(weight[a] for a in articles) * 2 >= sum(weight.values()):
-        tops = {len(a) for a in articles}
-
-        def depth(nodes) -> int | None:
-            return next((k for k in tops if tuple(id(n) for n in nodes[:k]) in articles), None)
-
-        depths = [depth(nodes) for nodes, _ in found]
+        tops = articles
     else:
-        chosen = [nodes for (nodes, _), key in zip(found, keys) if key in content]
-        common = chosen[0][:-1] if chosen[0] else ()
-        for nodes in chosen:
-            k = 0
-            while k < len(common) and k < len(nodes) and common[k] is nodes[k]:
-                k += 1
-            common = common[:k]
-        k = len(common)
-        depths = [k if len(nodes) >= k and all(a is b for a, b in zip(common, nodes)) else None for nodes, _ in found]
-        articles = set()
-    # what holds content is no border for what stands beside it
-    around = {id(n) for (nodes, _), key, k in zip(found, keys, depths) if key in content and k is not None for n in nodes[k:]}
+        common = max(k for k in range(len(nodes)) if held[k] == all_held)  # the innermost with all of it
+        tops, articles = {max(above[first], 0) if common == first else common}, set()
+    # per element: whether in what content stands in, whether all between is
+    # such as stands beside content, whether anything between holds no content
+    # (what does is no border for what stands beside it)
+    within, fits, other = [False] * len(nodes), [True] * len(nodes), [False] * len(nodes)
+    for k, node in enumerate(nodes):
+        if k in tops:
+            within[k] = True
+        elif k and within[above[k]]:
+            within[k], fits[k], other[k] = True, fits[above[k]], other[above[k]]
+            if not held[k]:
+                fits[k], other[k] = fits[k] and node.tag in BESIDE, True
     kept = []
-    for (nodes, text), key, k in zip(found, keys, depths):
-        if k is None:
-            if key in content and not articles:
+    for node, text in found:
+        k = number[id(node)]
+        if within[k]:
+            beside = fits[k] and (other[k] or (articles and k in tops))
+            if node.path in content or beside or (k not in tops and node.tag == "h1"):
                 kept.append(text)
-            continue
-        inner = [n for n in nodes[k:] if id(n) not in around]
-        beside = all(n.tag in BESIDE for n in inner) and (inner or (articles and len(nodes) == k))
-        if key in content or beside or (nodes[k:] and nodes[-1].tag == "h1"):
-            kept.append(text)
     return "\n".join(kept)
 
 
@@ -293,15 +367,17 @@ def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") ->
     """
     new = (out_col, "n_chars")
     keep = [c for c in pages.columns if c not in new]
-    rows = pages.select(*keep, pages[html_col].alias("_page"))
+    inner = [f"k{i}" for i in range(len(keep))]
+    rows = pages.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)], F.col(html_col).alias("page"))
 
     def run(batches):
-        for batch in W.slices(batches, "_page"):
-            texts = [main_text(p.as_py()) for p in batch.column("_page")]
+        for batch in W.slices(batches, "page"):
+            texts = [main_text(p.as_py()) for p in batch.column("page")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
-                [*keep, *new],
+                [*(batch.column(k) for k in inner), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
+                [*inner, "text", "n_chars"],
             )
 
-    schema = T.StructType([*(pages.schema[c] for c in keep), T.StructField(out_col, T.StringType()), T.StructField("n_chars", T.LongType())])
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType([*(T.StructField(k, pages.schema[c].dataType) for c, k in zip(keep, inner)), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    made = rows.mapInArrow(run, schema)
+    return made.select(*[F.col(k).alias(c) for c, k in zip(keep, inner)], F.col("text").alias(out_col), "n_chars")
