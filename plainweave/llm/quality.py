@@ -1,12 +1,18 @@
 """Quality rules: fixed rules first, then robust multivariate outliers.
 
 Every document becomes a vector of transformed statistics. For each language
-and source, minimum-covariance-determinant estimates are found by
-concentration steps over all rows: the rows nearest to the present centre, at
-least the share H of them, give the next centre and scatter. A step is one
-aggregation: rows fall into bins of their distance, and a bin carries counts
-and sums of integers, so any number of rows makes at most BINS rows a group
-and the sums do not depend on their order.
+and source, for each language and for all rows together, minimum-covariance-
+determinant estimates are found by concentration steps over all rows: the rows
+nearest to the present centre, at least the share H of them, give the next
+centre and scatter. Several starts are followed for two steps; that with the
+least determinant goes on until the determinant falls no more, and one more
+step takes all rows that are no outliers. The estimate
+of a source is then weighed with that of its language, and that with
+the one of all rows, by numbers of rows.
+
+A step is one aggregation: rows fall into bins of their distance, and a bin
+carries counts and sums of integers, so any number of rows makes at most BINS
+rows a group and the sums do not depend on their order.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +32,20 @@ from plainweave.operators.staging import stage
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-H, STEPS, MIN_ROWS = 0.75, 4, 100
+H = 0.75
+STEPS = 30  # at most; the given tables need five or six
+FALLS = 0.001  # the least share by which a determinant falls
 KEEP_QUANTILE = 0.999999
 SCALE = 1000  # statistics are held as integers of thousandths
-BINS = 400
-# spread below which a statistic counts as constant: log words, letters a word,
-# log symbols per thousand words, log repeated lines, angle of repeated words
+BINS, FINE = 800, 40
+STARTS = 3
+# resolution of the statistics, about what one more symbol or line in a document
+# changes: log words, letters a word, log symbols per thousand words, log
+# repeated lines, angle of repeated words. What varies less counts as constant,
+# with that spread; all else has its own
 FLOOR = (0.5, 0.25, 0.5, 0.5, 0.1)
 DIMS = len(FLOOR)
+SHRINK = 2 * DIMS + 1  # rows that the estimate of the next larger group counts for, as many as a scatter needs
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 
 
@@ -113,11 +125,12 @@ def base_failed() -> Column:
 
 
 def vector() -> list[Column]:
-    """Transformed statistics as integers of thousandths."""
+    """Transformed statistics as integers of thousandths; a million letters a
+    word is as many as count."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     made = [
         F.log1p("n_words"),
-        F.col("word_chars") / n,
+        F.least(F.col("word_chars") / n, F.lit(1e6)),
         F.log1p(1000 * F.col("n_symbols") / n),
         F.log1p("n_dup_lines"),
         F.asin(F.sqrt(F.least(F.col("n_repeat_words") / n, F.lit(1.0)))),
@@ -147,64 +160,134 @@ def consistency(share: float) -> float:
     return share / chi2_cdf(chi2_quantile(share, DIMS), DIMS + 2)
 
 
-def _solved(n: float, sums: list[float], squares: list[float], factor: float) -> list[float]:
-    """Centre and inverse scatter, the floor added to the scatter."""
-    mean = [s / n for s in sums]
-    scatter = np.zeros((DIMS, DIMS))
-    for (i, j), s in zip(PAIRS, squares):
-        scatter[i, j] = scatter[j, i] = factor * (s / n - mean[i] * mean[j])
-    scatter += np.diag([(f * SCALE) ** 2 for f in FLOOR])
+SUMS = [*(f"s{i}" for i in range(DIMS)), *(f"q{i}{j}" for i, j in PAIRS)]
+CENTRE = [f"c{i}" for i in range(DIMS)]
+SCATTER = [f"v{i}{j}" for i, j in PAIRS]
+INVERSE = [f"p{i}{j}" for i, j in PAIRS]
+FOUND = ["g", "start", "n", "used", "done", "determinant", *CENTRE, *SCATTER, *INVERSE]
+FOUND_SCHEMA = "g long, start int, n long, used long, done boolean, determinant double, " + ", ".join(
+    f"{c} double" for c in (*CENTRE, *SCATTER, *INVERSE)
+)
+
+
+def _square(values) -> np.ndarray:
+    out = np.zeros((DIMS, DIMS))
+    for (i, j), v in zip(PAIRS, values):
+        out[i, j] = out[j, i] = v
+    return out
+
+
+def held(scatter: np.ndarray) -> np.ndarray:
+    """The scatter with the resolution as spread in directions that vary less,
+    as constant statistics and those of very few rows do."""
+    unit = np.array(FLOOR) * SCALE
+    values, vectors = np.linalg.eigh(scatter / np.outer(unit, unit))
+    low = values < 1
+    if not low.any():
+        return scatter
+    more = (vectors[:, low] * (1 - values[low])) @ vectors[:, low].T
+    return scatter + more * np.outer(unit, unit)
+
+
+def _row(g: int, start: int, n: int, used: int, done: bool, mean, scatter: np.ndarray) -> list:
+    scatter = held(scatter)
     inverse = np.linalg.inv(scatter)
-    return [*mean, *(float(inverse[i, j]) for i, j in PAIRS)]
-
-
-PARAMS = [*(f"c{i}" for i in range(DIMS)), *(f"p{i}{j}" for i, j in PAIRS)]
-PARAM_SCHEMA = "g long, " + ", ".join(f"{p} double" for p in PARAMS)
-
-
-def _started(rows: pd.DataFrame) -> pd.DataFrame:
-    """Medians and median deviations of one group from counts of values."""
-    n = rows["n"][rows["dim"] == 0].sum()
-    sums, squares = [], []
-    for i in range(DIMS):
-        one = rows[rows["dim"] == i].sort_values("value")
-        value, count = one["value"].to_numpy(float), one["n"].to_numpy(float)
-        middle = value[np.searchsorted(np.cumsum(count), n / 2)]
-        away = np.abs(value - middle)
-        order = np.argsort(away, kind="stable")
-        mad = away[order][np.searchsorted(np.cumsum(count[order]), n / 2)]
-        sums.append(middle * n)
-        squares.append((middle * middle + (1.4826 * mad) ** 2) * n)
-    full = dict(zip([(i, i) for i in range(DIMS)], squares))
-    cross = [full.get((i, j), sums[i] * sums[j] / n) for i, j in PAIRS]
-    return pd.DataFrame([[rows["g"].iloc[0], *_solved(n, sums, cross, 1.0)]], columns=["g", *PARAMS])
-
-
-def _concentrated(bound_by_rows: bool):
-    within = consistency(H)
-    trim = 0.975
-    edge, trimmed = chi2_quantile(trim, DIMS), consistency(trim)
-
-    def step(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("bin")
-        count = rows["n"].to_numpy(float)
-        if bound_by_rows:  # the nearest rows, at least the share H
-            upto = np.searchsorted(np.cumsum(count), H * count.sum()) + 1
-            factor = within
-        else:  # all rows that are no outliers by the last estimate
-            upto = max(1, int((rows["bin"].to_numpy() <= _bin_of(edge)).sum()))
-            factor = trimmed
-        used = rows.iloc[:upto]
-        n = float(used["n"].sum())
-        sums = [float(used[f"s{i}"].sum()) for i in range(DIMS)]
-        squares = [float(used[f"q{i}{j}"].sum()) for i, j in PAIRS]
-        return pd.DataFrame([[rows["g"].iloc[0], *_solved(n, sums, squares, factor)]], columns=["g", *PARAMS])
-
-    return step
-
-
-def _bin_of(d: float) -> int:
-    return min(BINS - 1, int(math.floor(20 * math.log1p(d))))
+    of = lambda m: [float(m[i, j]) for i, j in PAIRS]
+    return [g, start, n, used, done, float(np.linalg.det(scatter / SCALE**2)), *map(float, mean), *of(scatter), *of(inverse)]
+
+
+def _moments(n: float, sums, squares) -> tuple[np.ndarray, np.ndarray]:
+    mean = np.array([float(s) for s in sums]) / n
+    return mean, _square([float(q) for q in squares]) / n - np.outer(mean, mean)
+
+
+def _place(value: Column) -> Column:
+    """Of about a hundredth of the value's size, so that a statistic has some
+    thousand places whatever its range."""
+    return F.signum(value) * F.floor(64 * F.log2(1 + F.abs(value)))
+
+
+def _back(place: Column) -> Column:
+    return F.round(F.signum(place) * (F.pow(F.lit(2.0), (F.abs(place) + 0.5) / 64) - 1))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three starts a group: medians and median deviations; the same with the
+    correlations of the statistics' hyperbolic tangents; mean and scatter with
+    weights that fall with the distance from the medians. Medians are read from
+    counts of places, which tasks add up before anything moves."""
+    dims = range(DIMS)
+    middle = rows.groupBy("g").agg(*[_back(F.percentile(_place(F.col(f"x{i}")), 0.5)).alias(f"m{i}") for i in dims])
+    placed = rows.join(stage(middle), "g")
+    away = placed.groupBy("g").agg(
+        *[F.first(f"m{i}").alias(f"m{i}") for i in dims],
+        *[_back(F.percentile(_place(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))), 0.5)).alias(f"a{i}") for i in dims],
+    )
+    spread = [F.greatest(1.4826 * F.col(f"a{i}"), F.lit(FLOOR[i] * SCALE)) for i in dims]
+    away = stage(away.select("g", *[f"m{i}" for i in dims], *[e.alias(f"e{i}") for i, e in enumerate(spread)]))
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"e{i}") for i in dims]
+    tangent = [F.round(1000 * F.tanh(x)).cast("long").alias(f"y{i}") for i, x in enumerate(z)]
+    length = sum((x * x for x in z[1:]), z[0] * z[0])
+    near = F.round(1000 / (1 + length / DIMS)).cast("long").alias("w")
+    known = rows.join(away, "g").select("g", *[f"{a}{i}" for a in "xme" for i in dims], *tangent, near)
+    wide = lambda c: F.sum(c.cast("decimal(38,0)"))
+    pair = lambda a: [(f"{a}{i}", f"{a}{j}") for i, j in PAIRS]
+    total = known.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(f"{a}{i}").alias(f"{a}{i}") for a in "me" for i in dims],
+        *[wide(F.col(f"y{i}")).alias(f"ys{i}") for i in dims], *[wide(F.col(a) * F.col(b)).alias(f"yq{a[1]}{b[1]}") for a, b in pair("y")],
+        wide(F.col("w")).alias("ws"), *[wide(F.col("w") * F.col(f"x{i}")).alias(f"ws{i}") for i in dims],
+        *[wide(F.col("w") * F.col(a) * F.col(b)).alias(f"wq{a[1]}{b[1]}") for a, b in pair("x")],
+    )
+
+    def made(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                centre = [r[f"m{i}"] for i in dims]
+                scale = np.array([r[f"e{i}"] for i in dims])
+                diagonal = np.diag(scale**2)
+                _, tanh = _moments(r["n"], [r[f"ys{i}"] for i in dims], [r[f"yq{i}{j}"] for i, j in PAIRS])
+                size = np.sqrt(np.maximum(np.diag(tanh), 1.0))
+                related = tanh / np.outer(size, size)
+                np.fill_diagonal(related, 1.0)
+                mean, scatter = _moments(max(1.0, float(r["ws"])), [r[f"ws{i}"] for i in dims], [r[f"wq{i}{j}"] for i, j in PAIRS])
+                starts = [(centre, diagonal), (centre, related * np.outer(scale, scale)), (mean, scatter)]
+                out += [_row(r["g"], k, r["n"], 0, False, m, v) for k, (m, v) in enumerate(starts)]
+            yield pd.DataFrame(out, columns=FOUND)
+
+    return total.mapInPandas(made, FOUND_SCHEMA)
+
+
+def _place_of(d: Column) -> Column:
+    return F.least(F.floor(FINE * F.log1p(d)), F.lit(BINS - 1)).cast("int")
+
+
+def _next(binned: DataFrame, last: bool) -> DataFrame:
+    """The next estimates from the bins of groups and starts: of the nearest
+    rows, at least the share H, or at `last` of all that are no outliers."""
+    edge = chi2_quantile(0.975, DIMS)
+    factor = consistency(0.975) if last else consistency(H)
+    own = Window.partitionBy("g", "start")
+    upto = F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    counted = binned.withColumns({"upto": upto, "all": F.sum("n").over(own), "least": F.min("bin").over(own)})
+    limit = F.greatest(F.col("least"), _place_of(F.lit(edge)))
+    near = counted.where(F.col("bin") <= limit if last else F.col("upto") - F.col("n") < H * F.col("all"))
+    sums = [F.sum(c).cast("double").alias(c) for c in SUMS]
+    told = [F.first(c).alias(f"old_{c}") for c in ("used", "determinant")]
+    total = near.groupBy("g", "start").agg(F.first("all").alias("n"), F.sum("n").alias("used"), *told, *sums)
+
+    def made(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                used = int(r["used"])
+                mean, scatter = _moments(used, [r[c] for c in SUMS[:DIMS]], [r[c] for c in SUMS[DIMS:]])
+                found = _row(int(r["g"]), int(r["start"]), int(r["n"]), used, False, mean, factor * scatter)
+                found[4] = bool(r["old_used"] > 0 and found[5] >= (1 - FALLS) * r["old_determinant"])
+                out.append(found)
+            yield pd.DataFrame(out, columns=FOUND)
+
+    return total.mapInPandas(made, FOUND_SCHEMA)
 
 
 def distance() -> Column:
@@ -216,22 +299,68 @@ def distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Centre and inverse scatter of every group `g` of `rows` (g, x0..x4)."""
-    values = rows.select(
-        "g", F.posexplode(F.array(*[F.floor(F.col(f"x{i}") / 10) * 10 for i in range(DIMS)])).alias("dim", "value")
-    )
-    counted = values.groupBy("g", "dim", "value").agg(F.count(F.lit(1)).alias("n"))
-    now = stage(counted.groupBy("g").applyInPandas(_started, PARAM_SCHEMA))
-    sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(DIMS)]
+def _binned(rows: DataFrame, now: DataFrame) -> DataFrame:
+    sums = [F.sum(F.col(f"x{i}").cast("decimal(38,0)")).alias(f"s{i}") for i in range(DIMS)]
     squares = [F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(38,0)")).alias(f"q{i}{j}") for i, j in PAIRS]
-    nearest = F.least(F.floor(20 * F.log1p(distance())), F.lit(BINS - 1)).cast("int")
-    for k in range(steps + 1):
-        placed = rows.join(now, "g").withColumn("bin", nearest)
-        binned = placed.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"), *sums, *squares)
-        narrow = binned.select("g", "bin", "n", *[F.col(c).cast("double") for c in binned.columns if c[0] in "sq"])
-        now = stage(narrow.groupBy("g").applyInPandas(_concentrated(k < steps), PARAM_SCHEMA))
-    return now
+    xs = [f"x{i}" for i in range(DIMS)]
+    known = rows.join(now.select("g", "start", "used", "determinant", *CENTRE, *INVERSE), "g")
+    placed = known.select("g", "start", "used", "determinant", _place_of(distance()).alias("bin"), *xs)
+    told = [F.first(c).alias(c) for c in ("used", "determinant")]
+    return placed.groupBy("g", "start", "bin").agg(F.count(F.lit(1)).alias("n"), *told, *sums, *squares)
+
+
+def _least(found: DataFrame) -> DataFrame:
+    """Of every group the start with the least determinant."""
+    first = F.min_by(F.struct(*FOUND), F.struct("determinant", "start"))
+    return stage(found.groupBy("g").agg(first.alias("r")).select("r.*"))
+
+
+def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
+    """Number of rows, centre, scatter and inverse scatter of every group `g` of
+    `rows` (g, x0..x4)."""
+
+    def stepped(now: DataFrame, last: bool = False) -> DataFrame:
+        return stage(_next(_binned(rows, now), last))
+
+    now = _least(stepped(stepped(stage(_starts(rows)))))
+    found = now.where("done")
+    for _ in range(steps - 2):
+        now = now.where(~F.col("done"))
+        if now.isEmpty():
+            break
+        now = stepped(now)
+        found = found.unionByName(now.where("done"))
+    return stepped(found.unionByName(now.where(~F.col("done"))), last=True)
+
+
+def _level(l, s) -> Column:
+    """Key of a group of rows; null for all languages or sources."""
+    value = lambda x: F.lit(None).cast("string") if x is None else F.col(x)
+    return F.xxhash64(F.lit(l is not None), F.lit(s is not None), value(l), value(s))
+
+
+def shrunk(groups: DataFrame) -> DataFrame:
+    """l, s and centre and inverse scatter of every group (l, s): own estimate,
+    that of the language and that of all rows, each weighed with the next by
+    n to SHRINK."""
+    fields = ["n", *CENTRE, *SCATTER]
+
+    def made(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_dict("records"):
+                mean = scatter = None
+                for k in "cba":  # from all rows to the source
+                    m, v = np.array([r[f"{k}_{c}"] for c in CENTRE]), _square([r[f"{k}_{c}"] for c in SCATTER])
+                    w = 1.0 if mean is None else r[f"{k}_n"] / (r[f"{k}_n"] + SHRINK)
+                    mean, scatter = (m, v) if mean is None else (w * m + (1 - w) * mean, w * v + (1 - w) * scatter)
+                inverse = np.linalg.inv(held(scatter))
+                out.append([r["l"], r["s"], *map(float, mean), *(float(inverse[i, j]) for i, j in PAIRS)])
+            yield pd.DataFrame(out, columns=["l", "s", *CENTRE, *INVERSE])
+
+    columns = [f"{k}_{c}" for k in "abc" for c in fields]
+    schema = "l string, s string, " + ", ".join(f"{c} double" for c in (*CENTRE, *INVERSE))
+    return groups.select("l", "s", *columns).mapInPandas(made, schema)
 
 
 def judge(
@@ -241,19 +370,20 @@ def judge(
     source_col: str = "source",
     keep_columns: list[str] | None = None,
     steps: int = STEPS,
-    min_rows: int = MIN_ROWS,
     quantile: float = KEEP_QUANTILE,
 ) -> DataFrame:
     """`docs` (or its `keep_columns`) with the counts of BASE, base_failed,
     distance (squared Mahalanobis, null if base_failed) and kept.
 
-    A source with fewer than `min_rows` rows that pass the fixed rules is
-    estimated with the other small ones of its language, and a language with
-    fewer with all small ones. A null language or source is a value of its
-    own. Null and empty texts fail the fixed rules. Repeated rows count each.
-    A group whose statistics do not vary has the floor as its spread. An empty
-    table gives an empty result; columns with the names of the new ones are
-    replaced.
+    A null language or source is a value of its own. Null and empty texts fail
+    the fixed rules; long ones are counted whole. Repeated rows count each. A
+    group of any size has an estimate, which its language's outweighs while it
+    has fewer than SHRINK rows. An empty table gives an empty result; columns
+    with the names of the new ones are replaced.
+
+    The limit is a parameter: 0.975 is the usual quantile for calling a row an
+    outlier, but would drop one good row in forty from data that are normal,
+    and more from these. What is dropped here is beyond any such tail.
     """
     new = [*BASE, "base_failed", "distance", "kept"]
     keep = [c for c in (keep_columns or docs.columns) if c not in new]
@@ -265,17 +395,18 @@ def judge(
         counted = counted.withColumn(f"k_{text_col}", F.col("text"))
     measured = stage(counted.select(*fields, base_failed().alias("base_failed"), *vector()))
     passed = measured.where(~F.col("base_failed"))
-    sizes = passed.groupBy("l", "s").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < min_rows
-    langs = sizes.where(small).groupBy("l").agg(F.sum("n").alias("m"))
-    wide = F.xxhash64(F.lit(0), F.lit(0))
-    group = F.when(~small, F.xxhash64("l", "s")).when(F.col("m") >= min_rows, F.xxhash64("l", F.lit(0))).otherwise(wide)
-    groups = stage(sizes.join(langs, "l", "left").select("l", "s", group.alias("g")))
-    rows = stage(passed.join(groups, ["l", "s"]).select("g", *[f"x{i}" for i in range(DIMS)]))
-    found = stage(groups.join(estimates(rows, steps), "g").drop("g"))
+    xs = [f"x{i}" for i in range(DIMS)]
+    levels = {"a": _level("l", "s"), "b": _level("l", None), "c": _level(None, None)}
+    rows = passed.select(F.explode(F.array(*levels.values())).alias("g"), *xs)
+    found = estimates(rows, steps)
+    groups = passed.select("l", "s").distinct().select("l", "s", *[g.alias(f"g_{k}") for k, g in levels.items()])
+    for k in levels:
+        columns = [F.col(c).alias(f"{k}_{c}") for c in ("n", *CENTRE, *SCATTER)]
+        groups = groups.join(found.select(F.col("g").alias(f"g_{k}"), *columns), f"g_{k}")
+    limits = stage(shrunk(groups))
     limit = chi2_quantile(quantile, DIMS)
     d = F.when(~F.col("base_failed"), distance())
-    out = measured.join(found, ["l", "s"], "left").withColumn("distance", d)
+    out = measured.join(limits, ["l", "s"], "left").withColumn("distance", d)
     kept = ~F.col("base_failed") & (F.col("distance") <= limit)
     return out.select(*[F.col(f"k_{c}").alias(c) for c in keep], *BASE, "base_failed", "distance", F.coalesce(kept, F.lit(False)).alias("kept"))
 

@@ -256,15 +256,17 @@ def keep_one(
 ) -> DataFrame:
     """One row of every component: the first by id, fingerprint and digest of
     its text, so that an id on different texts loses none of their groups. Rows
-    with a null id stay, as nothing names them."""
+    with a null id stay, as nothing names them. Null and empty texts are near
+    duplicates of each other; long texts count whole. An empty table gives an
+    empty result; the columns of `docs` may bear any names."""
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"))
     prints = stage(fingerprints(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", shingle_words))
     prints = prints.select(F.col("key.id").alias("id"), F.col("key.digest").alias("digest"), "fp")
     ids = stage(_components(prints.select("id", "fp"), "id", max_bits, part_rows).select("fp", "root"))
     first = F.min(F.struct("id", "fp", "digest")).alias("f")
     chosen = prints.where(F.col("id").isNotNull()).join(ids, "fp").groupBy("root").agg(first).select("f.id", "f.digest")
-    names = {c: f"_{n}" for n, c in enumerate(docs.columns)}
-    rows = docs.withColumnsRenamed(names).withColumn("_digest", F.xxhash64(names[text_col]))
+    names = {c: f"k{n}" for n, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(c).alias(k) for c, k in names.items()], F.xxhash64(text_col).alias("_digest"))
     own = names[id_col]
     joined = rows.join(chosen, (F.col(own) == F.col("id")) & (F.col("_digest") == F.col("digest")))
     order = Window.partitionBy(own, "_digest").orderBy("_digest")

@@ -155,14 +155,16 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFram
     with the rule's. A null or empty URL has empty host and path and, like all
     URLs if the rules accept none or reject none, is allowed unless a rule
     blocks it. Equal URLs are scored once and train as often as they stand in
-    the table. Columns with the names of the new ones are replaced; an empty
-    table gives an empty result.
+    the table. Long URLs are spelled whole. Columns with the names of the new
+    ones are replaced, others pass whatever their names; an empty table gives
+    an empty result.
     """
     new = ("host", "path", "rule", "verdict", "score")
     keep = [c for c in pages.columns if c not in new]
+    own = {c: f"k{i}" for i, c in enumerate(keep)}
     url = pages[url_col]
     host, path = host_and_path(url)
-    ruled = pages.select(*keep, url.alias("_url"), host.alias("host"), path.alias("path"))
+    ruled = pages.select(*[F.col(c).alias(k) for c, k in own.items()], url.alias("_url"), host.alias("host"), path.alias("path"))
     rule, verdict = rule_columns(rules, F.col("host"), F.col("path"))
     ruled = ruled.withColumn("rule", rule).withColumn("_verdict", verdict)
     half = F.when(F.conv(F.substring(F.md5("_url"), 1, 1), 16, 10).cast("int") < 8, "0").otherwise("1")
@@ -184,5 +186,6 @@ def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFram
     )
     limit = threshold(scores)
     out = ruled.join(scores.select(F.col("url").alias("_url"), "score"), "_url", "left")
-    own = F.lit("allow") if limit is None else F.when(F.col("score") < limit, "block").otherwise("allow")
-    return out.select(*keep, "host", "path", "rule", F.coalesce("_verdict", own).alias("verdict"), "score")
+    scored = F.lit("allow") if limit is None else F.when(F.col("score") < limit, "block").otherwise("allow")
+    verdict = F.coalesce("_verdict", scored).alias("verdict")
+    return out.select(*[F.col(k).alias(c) for c, k in own.items()], "host", "path", "rule", verdict, "score")
