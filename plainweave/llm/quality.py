@@ -45,7 +45,7 @@ STARTS = 3
 # with that spread; all else has its own
 FLOOR = (0.5, 0.25, 0.5, 0.5, 0.1)
 DIMS = len(FLOOR)
-SHRINK = 2 * DIMS + 1  # rows that the estimate of the next larger group counts for, as many as a scatter needs
+SHRINK = 30  # rows at which a group's own estimate weighs as much as that of the next larger group
 PAIRS = [(i, j) for i in range(DIMS) for j in range(i, DIMS)]
 
 
@@ -342,7 +342,8 @@ def _level(l, s) -> Column:
 def shrunk(groups: DataFrame) -> DataFrame:
     """l, s and centre and inverse scatter of every group (l, s): own estimate,
     that of the language and that of all rows, each weighed with the next by
-    n to SHRINK."""
+    n * n to SHRINK * SHRINK, so that few rows, of which outliers may be most,
+    say little."""
     fields = ["n", *CENTRE, *SCATTER]
 
     def made(batches):
@@ -352,7 +353,7 @@ def shrunk(groups: DataFrame) -> DataFrame:
                 mean = scatter = None
                 for k in "cba":  # from all rows to the source
                     m, v = np.array([r[f"{k}_{c}"] for c in CENTRE]), _square([r[f"{k}_{c}"] for c in SCATTER])
-                    w = 1.0 if mean is None else r[f"{k}_n"] / (r[f"{k}_n"] + SHRINK)
+                    w = 1.0 if mean is None else r[f"{k}_n"] ** 2 / (r[f"{k}_n"] ** 2 + SHRINK**2)
                     mean, scatter = (m, v) if mean is None else (w * m + (1 - w) * mean, w * v + (1 - w) * scatter)
                 inverse = np.linalg.inv(held(scatter))
                 out.append([r["l"], r["s"], *map(float, mean), *(float(inverse[i, j]) for i, j in PAIRS)])

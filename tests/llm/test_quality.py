@@ -87,7 +87,7 @@ def test_weighed_with_larger_groups(spark):
     frame = spark.createDataFrame([("en", "web", *fields.values())], ["l", "s", *fields])
     (r,) = Q.shrunk(frame).collect()
     (na, ma, va), (nb, mb, vb), (_, mc, vc) = given.values()
-    wa, wb = na / (na + Q.SHRINK), nb / (nb + Q.SHRINK)
+    wa, wb = na**2 / (na**2 + Q.SHRINK**2), nb**2 / (nb**2 + Q.SHRINK**2)
     mean = wa * ma + (1 - wa) * (wb * mb + (1 - wb) * mc)
     scatter = Q.held(wa * va + (1 - wa) * (wb * vb + (1 - wb) * vc))
     assert np.allclose([r[c] for c in Q.CENTRE], mean)
