@@ -1,5 +1,7 @@
 """Values that have to be exactly these for results to agree."""
 
+import math
+
 # --- fixed values: instruction texts -------------------------------------
 # The trailing space of the default is part of it: joined to the text by one
 # more space it gives two.
@@ -101,3 +103,6 @@ QUALITY_BANDS = [
     (70, "good"),
     (85, "excellent"),
 ]
+
+# Chances that a Poisson number of mean 1 is at most 0, 1, ... 9, from their rule.
+POISSON_LIMITS = [round(sum(math.exp(-1.0) / math.factorial(j) for j in range(k + 1)), 12) for k in range(10)]

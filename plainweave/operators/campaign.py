@@ -108,19 +108,25 @@ def ranking(summaries: DataFrame, by: list[str] = (), score: str = "sari_mean")
     return summaries.withColumn("rank", F.rank().over(order))
 
 
+def _place(score: str) -> Column:
+    """Sorts the best first, equal scores by name, models without a score last."""
+    return F.struct(F.col(score).isNull().alias("none"), (-F.col(score)).alias("s"), F.col("model").alias("model"))
+
+
+def _names(score: str) -> Column:
+    return F.transform(F.array_sort(F.collect_list(_place(score))), lambda e: e["model"])
+
+
 def ranking_list(summaries: DataFrame, by: list[str] = (), score: str = "sari_mean") -> DataFrame:
-    """The same as one ordered list of names."""
-    entries = F.array_sort(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col("model"))))
-    return summaries.groupBy(*by).agg(
-        F.transform(entries, lambda e: e["model"]).alias("ranking")
-    )
+    """The same as one ordered list of names, equal scores by name; models
+    without a score come last."""
+    return summaries.groupBy(*by).agg(_names(score).alias("ranking"))
 
 
 def best_model(summaries: DataFrame, by: list[str] = (), score: str = "sari_mean") -> DataFrame:
     """Equal scores go by name; a model without a score comes last."""
-    place = F.struct(F.col(score).isNull(), -F.col(score), F.col("model"))
     return summaries.groupBy(*by).agg(
-        F.min_by("model", place).alias("best_model"), F.max(score).alias(score)
+        F.min_by("model", _place(score)).alias("best_model"), F.max(score).alias(score)
     )
 
 
@@ -152,7 +158,9 @@ def pairwise(summaries: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def pareto(summaries: DataFrame, by: list[str] = ()) -> DataFrame:
     """Models that no other beats on one of speed and score without losing the
-    other: sorted by time, a model has to exceed the best score so far."""
+    other: sorted by time, a model has to exceed the best score so far. Models
+    without a time or a score cannot be compared and are left out."""
+    summaries = summaries.where(F.col("avg_generation_time").isNotNull() & F.col("sari_mean").isNotNull())
     by_time = W.partitionBy(*by).orderBy("avg_generation_time")
     # each distinct time with its best score, then the best among faster ones
     at_time = W.partitionBy(*by, "avg_generation_time")
@@ -204,11 +212,10 @@ def comparison_document(summaries: DataFrame, config: dict, timestamp: Column) -
     fields = [F.col(c) for c in summaries.columns if c not in ("model", "run_id", "seed")]
     record = F.struct(F.col("model").alias("model_name"), *fields)
     entries = F.collect_list(F.struct("model", record))
-    order = F.array_sort(F.collect_list(F.struct((-F.col("sari_mean")).alias("s"), "model")))
     own = ["run_id", "seed"]
     return summaries.groupBy(*own).agg(
         F.map_from_entries(F.array_sort(entries)).alias("results"),
-        F.transform(order, lambda e: e["model"]).alias("ranking"),
+        _names("sari_mean").alias("ranking"),
     ).select(
         F.date_format(timestamp, "yyyyMMdd_HHmmss").alias("timestamp"),
         F.struct(*own, *[F.lit(v).alias(k) for k, v in config.items() if k not in own]).alias("configuration"),
@@ -239,10 +246,13 @@ def run_documents(summaries: DataFrame) -> DataFrame:
 
 
 def compare_campaigns(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
-    """Differences b - a of matching runs and models."""
+    """Differences b - a of runs and models. What only one campaign has keeps its
+    row, with nulls on the other side; a null run or model matches a null one."""
     keys = ["model", "run_id"]
-    left = a.select(*keys, *[F.col(c).alias(f"{c}_a") for c in columns])
-    right = b.select(*keys, *[F.col(c).alias(f"{c}_b") for c in columns])
-    return left.join(right, keys).select(
-        "*", *[(F.col(f"{c}_b") - F.col(f"{c}_a")).alias(f"{c}_diff") for c in columns]
+    left = a.select(F.struct(*keys).alias("at"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = b.select(F.struct(*keys).alias("at"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return left.join(right, "at", "full").select(
+        *[F.col("at").getField(k).alias(k) for k in keys],
+        *[F.col(f"{c}_{side}") for side in "ab" for c in columns],
+        *[(F.col(f"{c}_b") - F.col(f"{c}_a")).alias(f"{c}_diff") for c in columns],
     )

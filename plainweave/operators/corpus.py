@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.functions.chat import conversation, instruction, two_turns
 from plainweave.functions.text import normal_tokens, sentences, words
+from plainweave.operators import alignment
 from plainweave.operators.position import with_position
 from plainweave.operators.staging import stage
 
@@ -61,13 +64,22 @@ def difference(prompt: Column, result: Column) -> Column:
     return F.lit(1.0) - both / (F.size(a) + F.size(b) - both)
 
 
-def difficulty_order(df: DataFrame, keys: list[str]) -> DataFrame:
+def edit_difference(prompt: Column, result: Column) -> Column:
+    """Edit distance of the tokens over the longer text's number: the order of
+    words counts. A missing text has no difference."""
+    both = prompt.isNotNull() & result.isNotNull()
+    return F.when(both, alignment.edit_difference(normal_tokens(prompt), normal_tokens(result)))
+
+
+def difficulty_order(
+    df: DataFrame, keys: list[str], measure: Callable[[Column, Column], Column] = difference
+) -> DataFrame:
     """Keys, difference and position in the curriculum: least changed first.
 
     The differences are written before they are ranked, since ranking samples
     its input first and would compute them twice.
     """
-    changed = difference(F.col("prompt"), F.col("result")).alias("difference")
+    changed = measure(F.col("prompt"), F.col("result")).alias("difference")
     return with_position(stage(df.select(*keys, changed)), ["difference", *keys])
 
 

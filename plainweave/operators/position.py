@@ -95,7 +95,8 @@ def running(
     total: str | None = None,
 ) -> DataFrame:
     """Running sums in key order: ``sums`` maps new column to summed column.
-    ``total`` names a column for the group's whole sum of the first of them."""
+    Nulls add nothing; a sum over nulls alone is null. ``total`` names a column
+    for the group's whole sum of the first of them."""
     within = list(within)
     ranged = in_ranges(df, within + order).withColumn("_of", _of(within))
     group = ["_range", "_of"]
@@ -116,9 +117,7 @@ def running(
     return joined.select(
         *df.columns,
         *[
-            F.when(F.col(f"_before_{o}").isNull(), F.col(f"_local_{o}"))
-            .otherwise(F.col(f"_before_{o}") + F.col(f"_local_{o}"))
-            .alias(o)
+            F.coalesce(F.col(f"_before_{o}") + F.col(f"_local_{o}"), f"_before_{o}", f"_local_{o}").alias(o)
             for o in sums
         ],
         *([] if total is None else [total]),

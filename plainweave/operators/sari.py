@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainweave.functions.text import gram_rows, gram_stack, normal_tokens
-from plainweave.operators.staging import stage
+from plainweave.operators.staging import stage_measured
 
 MAX_N = 4
 PART_BYTES = 16 << 20  # of text in a part; its n-grams take many times as much
@@ -97,12 +97,23 @@ def part_number(size: int, setting: int, per_part: int = PART_BYTES) -> int:
     return max(setting, -(-size // per_part))
 
 
-def _bytes(df: DataFrame, source: str, prediction: str, references: str) -> int:
-    sizes = [F.octet_length(c) for c in (source, prediction)]
-    sizes.append(F.octet_length(F.array_join(references, "")))
-    return df.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(f"b{i}") for i, s in enumerate(sizes)]).select(
-        F.col("b0") + F.col("b1") + F.col("b2")
-    ).first()[0]
+def placed(
+    df: DataFrame, keys: list[str], texts: list[str], partitions: int | None = None, per_part: int = PART_BYTES
+) -> DataFrame:
+    """Keys and texts (strings or lists of strings), hash-partitioned by key into
+    a fixed number of parts: sized by their texts alone, adaptive execution
+    would merge them although the n-grams are much larger. Without
+    ``partitions`` the texts are written first, so that they are made once, and
+    the bytes written give the number."""
+    rows = df.select(*dict.fromkeys(keys), *texts)
+    if partitions is None:
+        kinds = dict(rows.dtypes)
+        sizes = [F.octet_length(t if kinds[t] == "string" else F.array_join(t, "")) for t in texts]
+        held = sum((F.coalesce(x, F.lit(0)) for x in sizes[1:]), F.coalesce(sizes[0], F.lit(0)))
+        rows, found = stage_measured(rows, size=F.sum(held.cast("long")))
+        setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = part_number(found["size"] or 0, setting, per_part)
+    return rows.repartition(partitions, *dict.fromkeys(keys))
 
 
 def sari(
@@ -112,26 +123,21 @@ def sari(
     """SARI of every row; ``references`` is an array of texts. A row without a
     reference, or with a null among its texts, has null scores.
 
-    The texts are hash-partitioned by key once, into a fixed number of parts:
-    sized by their texts alone, adaptive execution would merge them although the
-    n-grams are much larger. Without ``partitions`` the texts are written first,
-    so that they are made once, and their bytes give the number.
+    The n-grams, many times larger than the texts, stay in the part their texts
+    are placed in.
     """
-    if partitions is None:
-        df = stage(df.select(*keys, source, prediction, references))
-        setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = part_number(_bytes(df, source, prediction, references), setting)
+    texts = placed(df, keys, [source, prediction, references], partitions)
     whole = (
         F.col(source).isNotNull() & F.col(prediction).isNotNull()
         & F.coalesce(F.size(references) > 0, F.lit(False))
         & ~F.coalesce(F.exists(references, lambda r: r.isNull()), F.lit(True))
     )
-    texts = df.select(
+    texts = texts.select(
         *keys, whole.alias("_whole"),
         F.when(whole, F.col(source)).otherwise("").alias(source),
         F.when(whole, F.col(prediction)).otherwise("").alias(prediction),
         F.when(whole, F.col(references)).otherwise(F.array(F.lit(""))).alias(references),
-    ).repartition(partitions, *keys)
+    )
     carried = [*keys, "_whole"]
     counts = ngram_counts(texts, carried, source, prediction, references, max_n)
     scored = sari_from_counts(counts, carried, max_n)
@@ -143,7 +149,7 @@ METRICS = {"sari": sari}
 
 
 def metric(name: str):
-    """A scoring job by name."""
+    """A scoring job by name, of a score per row."""
     if name not in METRICS:
         raise KeyError(f"no metric {name!r}; there is {sorted(METRICS)}")
     return METRICS[name]

@@ -20,13 +20,13 @@ def score_join(predictions: DataFrame, corpus: DataFrame, keys: list[str]) -> Da
 
 
 def tier_scores(scores: DataFrame) -> DataFrame:
-    """Mean score per tier and over all of them ('total')."""
+    """Mean score per tier and over all of them ('total'). Null is a tier like
+    others; one without any score has a null mean."""
     sums = scores.groupBy("tier").agg(F.sum("sari").alias("s"), F.count("sari").alias("n"))
-    return (
-        sums.rollup("tier")
-        .agg((F.sum("s") / F.sum("n")).alias("sari_mean"), F.sum("n").alias("num_samples"))
-        .withColumn("tier", F.coalesce("tier", F.lit("total")))
-    )
+    return sums.rollup("tier").agg(
+        F.try_divide(F.sum("s"), F.sum("n")).alias("sari_mean"), F.sum("n").alias("num_samples"),
+        F.grouping("tier").alias("_all"),
+    ).select(F.when(F.col("_all") == 1, "total").otherwise(F.col("tier")).alias("tier"), "sari_mean", "num_samples")
 
 
 def score_summary(scores: DataFrame, by: list[str]) -> DataFrame:
@@ -56,12 +56,12 @@ def throughput(df: DataFrame, by: list[str], seconds: Column, units: Column) ->
 
 
 def running_mean(scores: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Mean of all scores so far, per group, in key order."""
-    rows = scores.select(*by, *order, "sari").withColumn("_one", F.lit(1).cast("long"))
+    """Mean of all scores so far, per group, in key order. A missing score counts
+    neither as a score nor as zero; before the first one there is no mean."""
+    rows = scores.select(*by, *order, "sari").withColumn("_one", F.col("sari").isNotNull().cast("long"))
     summed = running(rows, order, {"scored": "_one", "_total": "sari"}, by)
-    return summed.select(
-        *by, *order, "sari", "scored", (F.col("_total") / F.col("scored")).alias("running_mean")
-    )
+    mean = F.try_divide("_total", "scored").alias("running_mean")
+    return summed.select(*by, *order, "sari", "scored", mean)
 
 
 def band(score: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: dict[str, list[str]] = {}  # by application
 _local_root: list[str] = []
@@ -39,6 +39,13 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, **sums: Column) -> tuple[DataFrame, dict]:
+    """The same, and aggregates of the rows, taken while they are written."""
+    measured = Observation()
+    written = stage(df.observe(measured, *[c.alias(name) for name, c in sums.items()]))
+    return written, measured.get
+
+
 def release_stages(spark: SparkSession) -> int:
     """Delete what this session staged, once its results have been written."""
     jvm = spark.sparkContext._jvm

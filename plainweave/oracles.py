@@ -13,6 +13,7 @@ from plainweave.functions.fixed import (
     DEFAULT_INSTRUCTION,
     INSTRUCTIONS,
     NORMAL_975,
+    POISSON_LIMITS,
     SYSTEM_PROMPT,
     T_CRITICAL_95,
     TASK_PREFIX,
@@ -195,6 +196,101 @@ def rounded(*columns: str, digits: int = 6) -> str:
     return ", ".join(f'round("{c}", {digits}) AS "{c}"' for c in columns)
 
 
+def overlaps(sides: str, keys: str, max_n: int) -> str:
+    """CTE counted(keys, side, n, gram, c) from a relation sides(keys, side, t)."""
+    return f"""
+shown AS (
+  SELECT {keys}, side, n, unnest(list_transform(generate_series(1, len(t) - n + 1),
+         lambda i: array_to_string(t[i:i + n - 1], ' '))) AS gram
+  FROM {sides}, (SELECT unnest(generate_series(1, {max_n})) AS n) WHERE len(t) >= n),
+counted AS (SELECT {keys}, side, n, gram, count(*) AS c FROM shown GROUP BY ALL)"""
+
+
+def bleu(rows: str, keys: str, by: str) -> str:
+    """Corpus BLEU by group from a relation with keys, by, a text p and a list refs."""
+    def toks(x: str) -> str:
+        return f"list_filter(string_split({normalise(x)}, ' '), lambda t: t <> '')"
+
+    match = [f"sum(CASE WHEN n = {k} THEN least(mine, best) ELSE 0 END) AS match{k}" for k in range(1, 5)]
+    every = [f"sum(CASE WHEN n = {k} THEN mine ELSE 0 END) AS grams{k}" for k in range(1, 5)]
+    missed = ["(" + " + ".join(f"(match{j} = 0)::INT" for j in range(1, k + 1)) + ")" for k in range(1, 5)]
+    share = [
+        f"ln(CASE WHEN match{k} = 0 THEN 1.0::DOUBLE / (power(2.0::DOUBLE, {m}) * grams{k}) ELSE match{k}::DOUBLE / grams{k} END)"
+        for k, m in enumerate(missed, 1)
+    ]
+    short = "CASE WHEN tokens < reference_tokens THEN exp(1 - reference_tokens::DOUBLE / tokens) ELSE 1 END"
+    return f"""
+texts AS (SELECT {keys}, {by}, 0 AS side, {toks("p")} AS t FROM {rows}
+  UNION ALL SELECT {keys}, {by}, k, {toks("ref")} FROM (SELECT {keys}, {by}, unnest(refs) AS ref, unnest(range(1, len(refs) + 1)) AS k FROM {rows})),
+{overlaps("texts", f"{keys}, {by}", 4)},
+each AS (SELECT {keys}, {by}, n, gram, coalesce(max(c) FILTER (side = 0), 0) AS mine, coalesce(max(c) FILTER (side > 0), 0) AS best
+  FROM counted GROUP BY ALL),
+sums AS (SELECT {by}, {", ".join(match + every)} FROM each GROUP BY {by}),
+sized AS (
+  SELECT {keys}, a.{by}, len(a.t) AS tokens, len(b.t) AS near FROM texts a JOIN texts b USING ({keys})
+  WHERE a.side = 0 AND b.side > 0
+  QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY abs(len(a.t) - len(b.t)), len(b.t)) = 1),
+lengths AS (SELECT {by}, sum(tokens) AS tokens, sum(near) AS reference_tokens FROM sized GROUP BY {by}),
+scored AS (
+  SELECT {by}, tokens::BIGINT AS tokens, reference_tokens::BIGINT AS reference_tokens,
+    {", ".join(f"match{k}::BIGINT AS match{k}, grams{k}::BIGINT AS grams{k}" for k in range(1, 5))},
+    {short} AS brevity_penalty, 100 * ({short}) * exp(({" + ".join(share)}) / 4) AS bleu
+  FROM sums JOIN lengths USING ({by}))"""
+
+
+def chrf(rows: str, keys: str, by: str) -> str:
+    """Corpus chrF by group, each row with the reference it scores best with."""
+    def chars(x: str) -> str:
+        return f"regexp_extract_all({x}, '[^{SPACE}]')"
+
+    def score() -> str:
+        both = [f"(grams{k} > 0 AND reference_grams{k} > 0)" for k in range(1, 7)]
+        used = "nullif(" + " + ".join(f"{b}::INT" for b in both) + ", 0)"
+        of = lambda c: "(" + " + ".join(
+            f"CASE WHEN {b} THEN match{k}::DOUBLE / {c}{k} ELSE 0 END" for k, b in enumerate(both, 1)) + f") / {used}"
+        p, r = of("grams"), of("reference_grams")
+        return f"coalesce(5 * ({p}) * ({r}) / nullif(4 * ({p}) + ({r}), 0), 0)"
+
+    sums = ", ".join(
+        f"sum(CASE WHEN n = {k} THEN {x} ELSE 0 END)::BIGINT AS {c}{k}"
+        for k in range(1, 7) for c, x in (("match", "least(mine, theirs)"), ("grams", "mine"), ("reference_grams", "theirs"))
+    )
+    names = [f"{c}{k}" for k in range(1, 7) for c in ("match", "grams", "reference_grams")]
+    return f"""
+both_ AS (SELECT {keys}, {by}, p, unnest(refs) AS r, unnest(range(len(refs))) AS ref FROM {rows}),
+texts AS (SELECT {keys}, {by}, ref, 0 AS side, {chars("p")} AS t FROM both_ UNION ALL SELECT {keys}, {by}, ref, 1, {chars("r")} FROM both_),
+{overlaps("texts", f"{keys}, {by}, ref", 6)},
+each AS (SELECT {keys}, {by}, ref, n, gram, coalesce(max(c) FILTER (side = 0), 0) AS mine, coalesce(max(c) FILTER (side = 1), 0) AS theirs
+  FROM counted GROUP BY ALL),
+one AS (SELECT {keys}, {by}, ref, {sums} FROM each GROUP BY {keys}, {by}, ref),
+best AS (SELECT * FROM one QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY round({score()}, 12) DESC, ref) = 1),
+total AS (SELECT {by}, {", ".join(f"sum({n})::BIGINT AS {n}" for n in names)} FROM best GROUP BY {by}),
+scored AS (SELECT *, 100 * {score()} AS chrf FROM total)"""
+
+
+def common(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two lists, row by row of the table."""
+    first = f"list_transform(range(0, len({b}) + 1), lambda k: 0::BIGINT)"
+    step = f"CASE WHEN k > 1 AND {b}[k - 1] = x THEN r[k - 1] + 1 ELSE r[k] END"
+    row = f"list_transform(range(1, len({b}) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: {step})))"
+    return f"list_reduce({a}, lambda r, x: {row}, {first})[-1]"
+
+
+def edits(a: str, b: str) -> str:
+    """Edit distance of two lists, in the same way; the first entry of a row
+    is taken from the row before."""
+    first = f"list_transform(range(0, len({b}) + 1), lambda k: k::BIGINT)"
+    step = f"CASE WHEN k = 1 THEN r[1] + 1 ELSE least(r[k] + 1, r[k - 1] + ({b}[k - 1] <> x)::INT) END - k"
+    row = f"list_transform(range(1, len({b}) + 2), lambda j: j + list_min(list_transform(range(1, j + 1), lambda k: {step})))"
+    return f"list_reduce({a}, lambda r, x: {row}, {first})[-1]"
+
+
+REFERRED = f"""inp AS (SELECT conv_id, turn, split, {first_sentence("prompt")} AS p, [result, {first_sentence("result")}] AS refs FROM pairs)"""
+REPLICATE_KEY = "(conv_id || ':' || turn || ':' || replicate)"
+ROUGE = """f AS (SELECT *, len(a) AS na, len(b) AS nb FROM found),
+s AS (SELECT *, CASE WHEN n > 0 THEN 100.0::DOUBLE * n / na ELSE 0 END AS rouge_l_precision,
+             CASE WHEN n > 0 THEN 100.0::DOUBLE * n / nb ELSE 0 END AS rouge_l_recall,
+             CASE WHEN n > 0 THEN 200.0::DOUBLE * n / (na + nb) ELSE 0 END AS rouge_l FROM f)"""
 PAIR_SARI = f"""{PAIRS},
 inp AS (SELECT conv_id, turn, prompt AS source, {first_sentence("prompt")} AS prediction,
                [result] AS refs FROM pairs),
@@ -319,6 +415,29 @@ parts AS (
   FROM ranked WHERE NOT first)"""
 
 
+def prepared(rows: str) -> str:
+    return f"""base AS (SELECT * FROM {rows} WHERE split = 'train'),
+{ratio_parts("base", PAIR_KEY, "conv_id, turn")},
+{interleaved("parts", 0.7, 42)},
+both_ AS (
+  SELECT split, row_id, conv_id, turn, prompt, result FROM mixed
+  UNION ALL
+  SELECT split, row_number() OVER (PARTITION BY split
+           ORDER BY {digest(42, "shuffle", PAIR_KEY)}, {PAIR_KEY}) - 1,
+         conv_id, turn, prompt, result FROM {rows} WHERE split IS DISTINCT FROM 'train'),
+c AS (SELECT *, {instruction(PAIR_KEY)} AS instruction FROM both_)
+SELECT split, row_id, conv_id, turn, instruction, {TWO_TURNS} AS messages FROM c"""
+
+
+ODD_EVENTS = """odd AS (
+  SELECT event_id, event_type AS model, CASE WHEN event_id % 4 < 3 THEN (event_id % 4)::INT END AS run_id,
+         CASE WHEN event_id % 3 <> 0 AND event_type <> 'signup'
+                   AND NOT (event_type = 'view' AND event_id % 4 = 1) THEN sqrt(value) END AS sari,
+         CASE WHEN NOT (event_type = 'click' AND event_id % 4 = 2) THEN value / 10 END AS seconds,
+         CASE WHEN event_type = 'signup' THEN 'hard' WHEN event_id % 5 > 0 THEN 'tier ' || (event_id % 5) END AS tier
+  FROM events)"""
+ODD_SUMMARY = f"""{ODD_EVENTS},
+odd_summary AS (SELECT run_id, model, avg(sari) AS sari_mean, avg(seconds) AS avg_generation_time FROM odd GROUP BY ALL)"""
 LINES = f"""raw AS (
   SELECT doc_id, unnest(l) AS t, unnest(generate_series(0, len(l) - 1)) AS line_no
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
@@ -495,17 +614,10 @@ p AS (SELECT shard, tok, row_number() OVER (PARTITION BY shard ORDER BY doc_id,
 SELECT shard, pos // 512 AS block, count(*)::INT AS n_tokens,
        string_agg(tok, ' ' ORDER BY pos) AS tokens FROM p GROUP BY 1, 2""",
     "prepared_corpus": f"""WITH {PAIRS},
-base AS (SELECT * FROM pairs WHERE split = 'train'),
-{ratio_parts("base", PAIR_KEY, "conv_id, turn")},
-{interleaved("parts", 0.7, 42)},
-both_ AS (
-  SELECT split, row_id, conv_id, turn, prompt, result FROM mixed
-  UNION ALL
-  SELECT split, row_number() OVER (PARTITION BY split
-           ORDER BY {digest(42, "shuffle", PAIR_KEY)}, {PAIR_KEY}) - 1,
-         conv_id, turn, prompt, result FROM pairs WHERE split <> 'train'),
-c AS (SELECT *, {instruction(PAIR_KEY)} AS instruction FROM both_)
-SELECT split, row_id, conv_id, turn, instruction, {TWO_TURNS} AS messages FROM c""",
+{prepared("pairs")}""",
+    "prepared_unlabelled": f"""WITH {PAIRS},
+u AS (SELECT * REPLACE (CASE WHEN conv_id % 5 > 0 THEN split END AS split) FROM pairs),
+{prepared("u")}""",
     "split_counts": f"""WITH {DOCS}
 SELECT split, count(*) AS rows,
        count(*) FILTER (prompt IS NULL OR result IS NULL) AS incomplete FROM docs GROUP BY split""",
@@ -703,4 +815,57 @@ SELECT model, i.model_type, conv_id, turn, len({words("prediction")})::INT AS n_
 FROM inp i JOIN sari_scores USING (model, conv_id, turn)""",
     "campaign_resumed": f"""WITH {SCORED}
 SELECT run_id, seed, model, conv_id, turn, n_units::INT AS n_units, round(sari, 6) AS sari FROM log""",
+    "running_mean_incomplete": f"""WITH {ODD_EVENTS}
+SELECT run_id, model, event_id, round(sari, 6) AS sari, count(sari) OVER w AS scored,
+       round(sum(sari) OVER w / nullif(count(sari) OVER w, 0), 6) AS running_mean
+FROM odd WINDOW w AS (PARTITION BY run_id, model ORDER BY event_id ROWS UNBOUNDED PRECEDING)""",
+    "tier_scores_incomplete": f"""WITH {ODD_EVENTS}
+SELECT tier, round(avg(sari), 6) AS sari_mean, count(sari) AS num_samples FROM odd GROUP BY tier
+UNION ALL SELECT 'total', round(avg(sari), 6), count(sari) FROM odd""",
+    "ranking_incomplete": f"""WITH {ODD_SUMMARY}
+SELECT run_id, string_agg(model, ',' ORDER BY sari_mean DESC NULLS LAST, model) AS ranking
+FROM odd_summary GROUP BY run_id""",
+    "pareto_incomplete": f"""WITH {ODD_SUMMARY},
+known AS (SELECT * FROM odd_summary WHERE sari_mean IS NOT NULL AND avg_generation_time IS NOT NULL)
+SELECT run_id, model, {rounded("sari_mean", "avg_generation_time")} FROM known a
+WHERE NOT EXISTS (
+  SELECT 1 FROM known b WHERE b.run_id IS NOT DISTINCT FROM a.run_id
+    AND b.sari_mean >= a.sari_mean AND b.avg_generation_time <= a.avg_generation_time
+    AND (b.sari_mean > a.sari_mean OR b.avg_generation_time < a.avg_generation_time))""",
+    "campaign_compare_outer": f"""WITH {ODD_SUMMARY},
+c AS (
+  SELECT coalesce(a.model, b.model) AS model, CASE WHEN a.model IS NULL THEN b.run_id ELSE a.run_id END AS run_id,
+         a.sari_mean AS sari_mean_a, b.sari_mean AS sari_mean_b, a.avg_generation_time AS avg_generation_time_a,
+         2 * b.avg_generation_time AS avg_generation_time_b, b.sari_mean - a.sari_mean AS sari_mean_diff,
+         2 * b.avg_generation_time - a.avg_generation_time AS avg_generation_time_diff
+  FROM (SELECT * FROM odd_summary WHERE model <> 'view') a
+  FULL JOIN (SELECT * FROM odd_summary WHERE model <> 'click') b
+    ON a.model = b.model AND a.run_id IS NOT DISTINCT FROM b.run_id)
+SELECT model, run_id, {rounded("sari_mean_a", "sari_mean_b", "avg_generation_time_a",
+                               "avg_generation_time_b", "sari_mean_diff", "avg_generation_time_diff")} FROM c""",
+    "bleu_corpus": f"""WITH {PAIRS}, {REFERRED},{bleu("inp", "conv_id, turn", "split")}
+SELECT * REPLACE (round(bleu, 6) AS bleu, round(brevity_penalty, 6) AS brevity_penalty) FROM scored""",
+    "chrf_corpus": f"""WITH {PAIRS}, {REFERRED},{chrf("inp", "conv_id, turn", "split")}
+SELECT * REPLACE (round(chrf, 6) AS chrf) FROM scored""",
+    "rouge_l": f"""WITH {PAIRS},
+w AS (SELECT conv_id, turn, {words(f"lower({first_sentence('prompt')})")} AS a, {words("lower(result)")} AS b FROM pairs),
+found AS (SELECT *, {common("b", "a")} AS n FROM w),
+{ROUGE}
+SELECT conv_id, turn, {rounded("rouge_l_precision", "rouge_l_recall", "rouge_l")} FROM s""",
+    "difficulty_sort_edit": f"""WITH {PAIRS},
+w AS (SELECT conv_id, turn, string_split({normalise("prompt")}, ' ') AS a, string_split({normalise("result")}, ' ') AS b FROM pairs),
+d AS (SELECT conv_id, turn, {edits("b", "a")}::DOUBLE / greatest(len(a), len(b)) AS difference FROM w)
+SELECT conv_id, turn, round(difference, 6) AS difference, row_number() OVER (ORDER BY difference, conv_id, turn) - 1 AS position FROM d""",
+    "bootstrap_models": f"""WITH {SCORED_WHOLE},
+means AS (SELECT run_id, model, avg(sari) AS m FROM log GROUP BY ALL),
+best AS (SELECT run_id, model AS best FROM means QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY m DESC, model) = 1),
+d AS (SELECT o.run_id, best, o.model AS other, conv_id, turn, a.sari - o.sari AS d
+  FROM log o JOIN best USING (run_id) JOIN log a USING (run_id, conv_id, turn) WHERE a.model = best AND o.model <> best),
+drawn AS (SELECT *, {uniform(42, "bootstrap", REPLICATE_KEY)} AS u FROM d, (SELECT unnest(range(1, 201)) AS replicate)),
+w AS (SELECT *, {" + ".join(f"(u >= {x!r}::DOUBLE)::INT" for x in POISSON_LIMITS)} AS w FROM drawn),
+r AS (SELECT run_id, best, other, replicate, sum(w * d) / sum(w) AS m FROM w GROUP BY ALL HAVING sum(w) > 0),
+f AS (SELECT run_id, best, other, quantile_cont(m, 0.025) AS ci_low, quantile_cont(m, 0.975) AS ci_high,
+             avg((m <= 0)::INT) AS not_ahead FROM r GROUP BY ALL),
+s AS (SELECT run_id, best, other, count(*) AS rows, avg(d) AS difference FROM d GROUP BY ALL)
+SELECT run_id, best, other, rows, {rounded("difference", "ci_low", "ci_high", "not_ahead")} FROM s JOIN f USING (run_id, best, other)""",
 }

@@ -43,10 +43,11 @@ def mix_training(
 def prepare_corpus(
     corpus: DataFrame, keys: list[str], order: list[str], ratio: float = 0.7, seed: int = 42
 ) -> DataFrame:
-    """All splits formatted; row_id is the position within the split."""
+    """All splits formatted; row_id is the position within the split. Rows
+    without a split are one more split."""
     rows = complete(corpus)
     train = mix_training(rows.where(F.col("split") == "train"), keys, order, ratio, seed)
-    others = shuffle_order(rows.where(F.col("split") != "train"), keys, seed, ["split"])
+    others = shuffle_order(rows.where(~F.col("split").eqNullSafe("train")), keys, seed, ["split"])
     columns = list(dict.fromkeys(["split", "row_id", *keys, "prompt", "result"]))
     mixed = train.select(*columns).unionByName(
         others.withColumnRenamed("position", "row_id").select(*columns)

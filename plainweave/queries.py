@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from plainweave.functions import chat, text
 from plainweave.functions.fixed import BASELINE_MARKER, SYSTEM_PROMPT, TASK_PREFIX, TEMPLATES
-from plainweave.operators import campaign, corpus, lengths, mixing, predict, sampling, scoring
+from plainweave.operators import alignment, campaign, corpus, lengths, mixing, overlap, packing, predict, resampling, sampling, scoring
 from plainweave.operators import sari as score
 from plainweave.operators.position import with_position
 from plainweave.operators.staging import new_path, stage
@@ -344,6 +344,12 @@ def difficulty_sort(spark: SparkSession, sf: str) -> DataFrame:
     return _round(corpus.difficulty_order(pairs(spark, sf), PAIR_KEYS), "difference")
 
 
+def difficulty_sort_edit(spark: SparkSession, sf: str) -> DataFrame:
+    """The curriculum by edit distance, in which the order of words counts."""
+    order = corpus.difficulty_order(pairs(spark, sf), PAIR_KEYS, corpus.edit_difference)
+    return _round(order.select(*PAIR_KEYS, "difference", "position"), "difference")
+
+
 def batch_ids(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.batch_ids(table(spark, sf, "documents").select("doc_id"), DOC, 64)
 
@@ -371,12 +377,40 @@ def pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return packed.select("shard", "block", "n_tokens", _words(F.col("tokens")).alias("tokens"))
 
 
-def prepared_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    made = prepare.prepare_corpus(pairs(spark, sf), PAIR_KEYS, PAIR_KEYS)
+def _conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole conversations as token lists, turns in order."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", text.tokens(F.col("text")).alias("toks"))))
+    rows = table(spark, sf, "conversations").where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(turns.alias("turns"))
+    return rows.select("conv_id", F.flatten(F.transform("turns", lambda t: t["toks"])).alias("tokens"))
+
+
+def pack_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations kept whole in blocks, by best fit."""
+    packed = packing.pack_whole(stage(_conversations(spark, sf)), ["conv_id"], "tokens", 2 * LIMIT, shard_rows=500)
+    return packed.select("shard", "block", "n_rows", "n_tokens", _words(F.col("tokens")).alias("tokens"))
+
+
+def pack_fill_rate(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack_whole(stage(_conversations(spark, sf)), ["conv_id"], "tokens", 2 * LIMIT, shard_rows=500)
+    return _round(packing.fill_rate(packed, 2 * LIMIT), "fill")
+
+
+def _prepared(corpus_rows: DataFrame) -> DataFrame:
+    made = prepare.prepare_corpus(corpus_rows, PAIR_KEYS, PAIR_KEYS)
     return made.select("split", "row_id", *PAIR_KEYS, "instruction",
                        _json("messages").alias("messages"))
 
 
+def prepared_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return _prepared(pairs(spark, sf))
+
+
+def prepared_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where every fifth conversation has no split."""
+    rows = pairs(spark, sf)
+    return _prepared(rows.withColumn("split", F.when(F.col("conv_id") % 5 > 0, F.col("split"))))
+
+
 # --- lengths -----------------------------------------------------------------------
 
 
@@ -474,10 +508,42 @@ def sari_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return _round(out, "sari")
 
 
+def _referred(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with two references, the whole result and its first sentence."""
+    return pairs(spark, sf).select(
+        *PAIR_KEYS, "split", text.first_sentence(F.col("prompt")).alias("prediction"),
+        F.array("result", text.first_sentence(F.col("result"))).alias("references"),
+    )
+
+
+def bleu_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return _round(overlap.bleu(_referred(spark, sf), PAIR_KEYS, ["split"]), "bleu", "brevity_penalty")
+
+
+def chrf_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return _round(overlap.chrf(_referred(spark, sf), PAIR_KEYS, ["split"]), "chrf")
+
+
+ROUGE = ["rouge_l_precision", "rouge_l_recall", "rouge_l"]
+
+
+def rouge_l(spark: SparkSession, sf: str) -> DataFrame:
+    rows = pairs(spark, sf).select(
+        *PAIR_KEYS, text.first_sentence(F.col("prompt")).alias("prediction"), F.col("result").alias("reference")
+    )
+    return _round(alignment.rouge_l(rows).select(*PAIR_KEYS, *ROUGE), *ROUGE)
+
+
+def rouge_l_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents as references of their first sentences."""
+    scored = alignment.rouge_l(document_pairs(spark, sf), "result", "prompt")
+    return _round(scored.select("doc_id", *ROUGE), *ROUGE)
+
+
 def sari_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Bulk scoring: whole documents as source, their first line as reference,
     their first sentence as prediction."""
-    rows = table(spark, sf, "documents").select(
+    rows = documents(spark, sf).select(
         "doc_id", F.col("text").alias("source"),
         text.first_sentence(F.col("text")).alias("prediction"),
         F.array(F.split("text", "\n", -1)[0]).alias("references"),
@@ -588,6 +654,31 @@ def running_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _round(means, "sari", "running_mean")
 
 
+def _odd_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as scores in which every kind of value is missing somewhere: runs,
+    tiers, scores of single rows, of a whole model, of a whole tier, times."""
+    k = F.col("event_id")
+    model = F.col("event_type")
+    run = F.when(k % 4 < 3, k % 4).cast("int")
+    score = F.when((k % 3 != 0) & (model != "signup") & ~((model == "view") & (k % 4 == 1)), F.sqrt("value"))
+    return table(spark, sf, "events").select(
+        k, model.alias("model"), run.alias("run_id"), score.alias("sari"),
+        F.when(~((model == "click") & (k % 4 == 2)), F.col("value") / 10).alias("seconds"),
+        F.when(model == "signup", "hard").when(k % 5 > 0, F.concat(F.lit("tier "), k % 5)).alias("tier"),
+    )
+
+
+def running_mean_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    """Running means where scores are missing, at the beginning too."""
+    means = scoring.running_mean(stage(_odd_events(spark, sf)), ["run_id", "model"], ["event_id"])
+    return _round(means, "sari", "running_mean")
+
+
+def tier_scores_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    """A tier without name and one without scores."""
+    return _round(scoring.tier_scores(_odd_events(spark, sf)), "sari_mean")
+
+
 def quality_bands(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.quality_bands(_scores(spark, sf), ["model"])
 
@@ -702,6 +793,32 @@ def ranking_list(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select("run_id", F.array_join("ranking", ",").alias("ranking"))
 
 
+def _odd_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """Models by run, some without a score, a time or a run."""
+    return _odd_events(spark, sf).groupBy("run_id", "model").agg(
+        F.avg("sari").alias("sari_mean"), F.avg("seconds").alias("avg_generation_time")
+    )
+
+
+def ranking_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    listed = campaign.ranking_list(_odd_summaries(spark, sf), ["run_id"])
+    return listed.select("run_id", F.array_join("ranking", ",").alias("ranking"))
+
+
+def pareto_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    good = campaign.pareto(_odd_summaries(spark, sf), ["run_id"])
+    return _round(good, "sari_mean", "avg_generation_time")
+
+
+def campaign_compare_outer(spark: SparkSession, sf: str) -> DataFrame:
+    """Campaigns that share some models only, with runs that have no number."""
+    made = _odd_summaries(spark, sf)
+    a = made.where("model != 'view'")
+    b = made.where("model != 'click'").withColumn("avg_generation_time", 2 * F.col("avg_generation_time"))
+    out = campaign.compare_campaigns(a, b, ["sari_mean", "avg_generation_time"])
+    return _round(out, *[c for c in out.columns if c not in ("model", "run_id")])
+
+
 def best_model(spark: SparkSession, sf: str) -> DataFrame:
     return _round(campaign.best_model(_summary(spark, sf), ["run_id"]), "sari_mean")
 
@@ -710,6 +827,13 @@ def pairwise_models(spark: SparkSession, sf: str) -> DataFrame:
     return _round(campaign.pairwise(_summary(spark, sf), ["run_id"]), "difference", "t")
 
 
+def bootstrap_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The best model against the others over resampled pairs."""
+    log = stage(_scores(spark, sf))
+    out = resampling.bootstrap(log, PAIR_KEYS, ["run_id"], replicates=200)
+    return _round(out, "difference", "ci_low", "ci_high", "not_ahead")
+
+
 def pareto_models(spark: SparkSession, sf: str) -> DataFrame:
     good = campaign.pareto(_summary(spark, sf), ["run_id"])
     out = good.select("run_id", "model", "sari_mean", "avg_generation_time")
@@ -846,6 +970,9 @@ QUERIES = {
         head_unlabelled, sample_unlabelled, shuffle_unlabelled, row_index_unlabelled,
         score_summary_unlabelled, sari_incomplete, dedup_pairs, split_examples, multi_run_many,
         speed_lines, campaign_models, campaign_resumed,
+        running_mean_incomplete, tier_scores_incomplete, ranking_incomplete, pareto_incomplete,
+        campaign_compare_outer, prepared_unlabelled, bleu_corpus, chrf_corpus, rouge_l, rouge_l_documents,
+        difficulty_sort_edit, pack_whole, pack_fill_rate, bootstrap_models,
         predict_batches, stream_format, stream_log,
     )
 }

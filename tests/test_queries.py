@@ -11,8 +11,12 @@ def canonical(rows, columns):
     return sorted(tuple(repr(r[i] + 0.0 if isinstance(r[i], float) else r[i]) for i in order) for r in rows)
 
 
+# too slow in SQL on whole tables, or beyond it; compared with plain versions
+WITHOUT_SQL = {"rouge_l_documents", "pack_whole", "pack_fill_rate"}
+
+
 def test_names_agree():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLES)
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
