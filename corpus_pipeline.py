@@ -2,6 +2,13 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next one's docs.
+
+Null and empty texts fail the quality rules and so reach no later stage; the
+stages alone take them (null ids stay in near-dedup, texts without words are
+not contaminated, have no ids and no personal data). Long texts are read whole,
+repeated rows are copies of which one stays, ties go to the smallest id, an
+empty table stays empty. Columns of the caller's pass the stages but the last
+whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal numbers and dates."""
-    made = pseudonyms.pseudonymise(docs, queries.PSEUDONYM_KEY)
+    made = pseudonyms.pseudonymise(docs, queries.pseudonym_key(spark))
     return made.select(*docs.columns)
 
 

@@ -400,7 +400,7 @@ def judge(
     levels = {"a": _level("l", "s"), "b": _level("l", None), "c": _level(None, None)}
     rows = passed.select(F.explode(F.array(*levels.values())).alias("g"), *xs)
     found = estimates(rows, steps)
-    groups = passed.select("l", "s").distinct().select("l", "s", *[g.alias(f"g_{k}") for k, g in levels.items()])
+    groups = stage(passed.select("l", "s").distinct().select("l", "s", *[g.alias(f"g_{k}") for k, g in levels.items()]))
     for k in levels:
         columns = [F.col(c).alias(f"{k}_{c}") for c in ("n", *CENTRE, *SCATTER)]
         groups = groups.join(found.select(F.col("g").alias(f"g_{k}"), *columns), f"g_{k}")

@@ -11,7 +11,8 @@ from plainweave.llm import quality, simhash, urls, whitening
 from plainweave.sources.tables import table
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
-PSEUDONYM_KEY = b"replace by a secret of your own"
+KEY_SETTING = "spark.plainweave.pseudonymKey"
+PSEUDONYM_KEY = b"replace by a secret of your own"  # where the session has none: good for trials only
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
     ("block", "com/de/"),
@@ -27,6 +28,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The secret of the session. Who has it can turn pseudonyms back."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else PSEUDONYM_KEY
+
+
 def op1_license_scans(spark: SparkSession, sf: str) -> DataFrame:
     """Licences of all documents, as files of a tree by source, language and id."""
     number = F.coalesce("doc_id", F.lit(-1))
@@ -68,7 +75,7 @@ def op6_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return pseudonyms.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+    return pseudonyms.pseudonymise(table(spark, sf, "documents").select("doc_id", "text"), pseudonym_key(spark))
 
 
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
