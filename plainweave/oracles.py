@@ -863,9 +863,11 @@ d AS (SELECT o.run_id, best, o.model AS other, conv_id, turn, a.sari - o.sari AS
   FROM log o JOIN best USING (run_id) JOIN log a USING (run_id, conv_id, turn) WHERE a.model = best AND o.model <> best),
 drawn AS (SELECT *, {uniform(42, "bootstrap", REPLICATE_KEY)} AS u FROM d, (SELECT unnest(range(1, 201)) AS replicate)),
 w AS (SELECT *, {" + ".join(f"(u >= {x!r}::DOUBLE)::INT" for x in POISSON_LIMITS)} AS w FROM drawn),
-r AS (SELECT run_id, best, other, replicate, sum(w * d) / sum(w) AS m FROM w GROUP BY ALL HAVING sum(w) > 0),
-f AS (SELECT run_id, best, other, quantile_cont(m, 0.025) AS ci_low, quantile_cont(m, 0.975) AS ci_high,
-             avg((m <= 0)::INT) AS not_ahead FROM r GROUP BY ALL),
-s AS (SELECT run_id, best, other, count(*) AS rows, avg(d) AS difference FROM d GROUP BY ALL)
-SELECT run_id, best, other, rows, {rounded("difference", "ci_low", "ci_high", "not_ahead")} FROM s JOIN f USING (run_id, best, other)""",
+reps AS (SELECT run_id, best, other, replicate, sum(w * d) / sum(w) AS m FROM w GROUP BY ALL HAVING sum(w) > 0),
+bounds AS (SELECT run_id, best, other, quantile_cont(m, 0.025) AS ci_low, quantile_cont(m, 0.975) AS ci_high,
+             avg((m <= 0)::INT) AS not_ahead FROM reps GROUP BY ALL),
+paired AS (SELECT run_id, best, other, count(*) AS rows, avg(d) AS difference FROM d GROUP BY ALL)
+SELECT run_id, best, other, rows, {rounded("difference", "ci_low", "ci_high", "not_ahead")} FROM paired JOIN bounds USING (run_id, best, other)""",
+    "caller_tokens": f"""WITH n AS (SELECT doc_id, len(string_split(text, ' '))::INT AS n_tokens FROM documents)
+SELECT doc_id, n_tokens, n_tokens <= 512 AS keep FROM n""",
 }

@@ -437,6 +437,17 @@ def training_set(spark: SparkSession, sf: str) -> DataFrame:
     return chosen
 
 
+def space_counter():
+    """A caller's tokenizer: pieces between spaces."""
+    return lambda texts: [0 if t is None else t.count(" ") + 1 for t in texts]
+
+
+def caller_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Lengths by a tokenizer of the caller's, and whether texts fit."""
+    rows = documents(spark, sf).select("doc_id", "text")
+    return lengths.with_length(rows, "text", LIMIT, lengths.token_counter(space_counter)).select("doc_id", "n_tokens", "keep")
+
+
 def length_profile(spark: SparkSession, sf: str) -> DataFrame:
     def n(turns: list, answer: bool = False) -> Column:
         return F.size(text.tokens(chat.render_turns(turns, answer=answer)))
@@ -972,7 +983,7 @@ QUERIES = {
         speed_lines, campaign_models, campaign_resumed,
         running_mean_incomplete, tier_scores_incomplete, ranking_incomplete, pareto_incomplete,
         campaign_compare_outer, prepared_unlabelled, bleu_corpus, chrf_corpus, rouge_l, rouge_l_documents,
-        difficulty_sort_edit, pack_whole, pack_fill_rate, bootstrap_models,
+        difficulty_sort_edit, caller_tokens, pack_whole, pack_fill_rate, bootstrap_models,
         predict_batches, stream_format, stream_log,
     )
 }
