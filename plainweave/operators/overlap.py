@@ -15,7 +15,7 @@ from plainweave.functions.text import SPACE, normal_tokens
 from plainweave.operators.sari import ngrams, placed
 
 MAX_N, CHAR_N, BETA = 4, 6, 2
-CHAR_PART_BYTES = 4 << 20  # a text has more n-grams of characters than of tokens
+CHAR_PART_BYTES = 512 << 10  # a text has more n-grams of characters than of tokens
 
 
 def _words(c: Column) -> Column:

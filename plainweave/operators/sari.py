@@ -16,7 +16,7 @@ from plainweave.functions.text import gram_rows, gram_stack, normal_tokens
 from plainweave.operators.staging import stage_measured
 
 MAX_N = 4
-PART_BYTES = 16 << 20  # of text in a part; its n-grams take many times as much
+PART_BYTES = 2 << 20  # of text in a part; its counted n-grams take about 140 times as much memory
 
 
 def ngrams(df: DataFrame, keys: list[str], toks: str, max_n: int = MAX_N) -> DataFrame:

@@ -58,6 +58,17 @@ def test_numbers_of_parts():
     assert part_number(0, 8) == 8 and part_number(10**14, 200) == -(-(10**14) // PART_BYTES)
 
 
+def test_parts_hold_few_texts(spark):
+    # counted n-grams take about 140 times their texts: a part shall stay in a task's memory
+    from plainweave.operators.sari import placed
+
+    rows = spark.range(160).select("id", F.repeat(F.concat(F.lit("word"), "id", F.lit(" ")), 20_000).alias("t"))
+    total = rows.agg(F.sum(F.octet_length("t"))).first()[0]
+    assert total > 16 << 20
+    parts = placed(rows, ["id"], ["t"]).rdd.getNumPartitions()
+    assert total / parts <= 2 << 20
+
+
 @pytest.mark.parametrize("per_range", (7, 100_000))
 def test_null_groups(spark, per_range, monkeypatch):
     monkeypatch.setattr("plainweave.operators.position.RANGE_ROWS", per_range)
