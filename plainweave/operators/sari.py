@@ -31,20 +31,21 @@ def ngram_counts(
     max_n: int = MAX_N,
 ) -> DataFrame:
     """Multiset counts s, c, r of every n-gram of a row. With several references
-    the source and prediction counts are multiplied by their number."""
+    the source and prediction counts are multiplied by their number. A text that
+    stands on several sides of its row, as a copied answer does, is cut once."""
+    times = F.size(references)
+
+    def sides(text: Column) -> Column:
+        return F.struct(
+            text.alias("text"),
+            F.when(text.eqNullSafe(F.col(source)), times).otherwise(0).alias("s"),
+            F.when(text.eqNullSafe(F.col(prediction)), times).otherwise(0).alias("c"),
+            F.size(F.filter(references, lambda r: r.eqNullSafe(text))).alias("r"),
+        )
 
-    def side(text: Column, s: Column, c: Column, r: Column) -> Column:
-        return F.struct(text.alias("text"), s.alias("s"), c.alias("c"), r.alias("r"))
-
-    none, one, times = F.lit(0), F.lit(1), F.size(references)
-    sides = F.concat(
-        F.array(
-            side(F.col(source), times, none, none), side(F.col(prediction), none, times, none)
-        ),
-        F.transform(F.col(references), lambda r: side(r, none, none, one)),
-    )
     carried = [*keys, "s", "c", "r"]
-    texts = df.select(*keys, F.inline(sides))
+    every = F.array_distinct(F.concat(F.array(source, prediction), F.col(references)))
+    texts = df.select(*keys, F.inline(F.transform(every, sides)))
     toks = texts.select(*carried, normal_tokens(F.col("text")).alias("toks"))
     rows = ngrams(toks, carried, "toks", max_n)
     return rows.groupBy(*keys, "n", "gram").agg(*[F.sum(x).alias(x) for x in ("s", "c", "r")])

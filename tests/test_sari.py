@@ -110,3 +110,19 @@ def test_incomplete_rows_have_null_scores(spark):
     pairs = spark.createDataFrame([(2, 1, "x"), (1, 5, "x"), (1, 4, "x"), (9, 9, "y")], "a int, b int, t string")
     kept = drop_duplicates(pairs, ["t"], ["a", "b"]).collect()
     assert sorted((r["a"], r["b"]) for r in kept) == [(1, 4), (9, 9)]
+
+
+def test_equal_texts_are_cut_once(spark):
+    from plainweave.operators.sari import ngram_counts
+
+    rows = [(1, "a b", "a b", ["a b", "c", "a b"]), (2, "a", "b", ["a"]), (3, "", "", [""]), (4, "a a", "b", ["c", "b"])]
+    df = spark.createDataFrame(rows, "id int, source string, prediction string, references array<string>")
+    counts = ngram_counts(df, ["id"], "source", "prediction", "references")
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in plan
+    got = {(r["id"], r["gram"]): (r["s"], r["c"], r["r"]) for r in counts.collect()}
+    assert got == {
+        (1, "a"): (3, 3, 2), (1, "b"): (3, 3, 2), (1, "a b"): (3, 3, 2), (1, "c"): (0, 0, 1),
+        (2, "a"): (1, 0, 1), (2, "b"): (0, 1, 0), (3, ""): (1, 1, 1),
+        (4, "a"): (4, 0, 0), (4, "a a"): (2, 0, 0), (4, "b"): (0, 2, 1), (4, "c"): (0, 0, 1),
+    }
