@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from plainweave.functions.fixed import POISSON_LIMITS
 from plainweave.functions.hashing import uniform
 from plainweave.operators.campaign import best_model
-from plainweave.operators.position import join_groups
+from plainweave.operators.position import join_groups, range_number
+from plainweave.operators.staging import stage_measured
 
 REPLICATES = 1000
+DRAWS = 2_000_000  # of a part, about
 
 
 def weight(u: Column) -> Column:
@@ -39,6 +41,9 @@ def bootstrap(
     no pair. Repeated rows of a key pair with each other. Equal means go by
     name. Without a pair a model has no row; a single pair has its own
     difference for every replicate that drew it. Null is a group like others.
+
+    The pairs are written first and spread by the number of their draws: sized
+    by their bytes, adaptive execution would put them into a few tasks.
     """
     by = list(by)
     means = scores.groupBy(*by, "model").agg(F.avg(score).alias(score))
@@ -50,13 +55,19 @@ def bootstrap(
     paired = others.join(ahead, "_at").select(
         *by, *keys, F.col("best_model").alias("best"), F.col("model").alias("other"), (F.col("_ahead") - F.col("_score")).alias("_d")
     )
+    paired, found = stage_measured(paired, rows=F.count(F.lit(1)))
+    setting = int(paired.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paired = paired.repartition(range_number((found.get("rows") or 0) * (replicates + 1), setting, DRAWS))
     groups = [*by, "best", "other"]
     each = F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("replicate")  # replicate 0 is the sample itself
     drawn = paired.select("*", each)
-    w = F.when(F.col("replicate") == 0, 1).otherwise(weight(uniform(seed, "bootstrap", [*keys, "replicate"])))
-    weighed = drawn.withColumn("_w", w).where(F.col("_w") > 0)
+    # one digest a draw: in a column of its own, and no filter on the weight,
+    # which would be pushed below that column and take it apart again
+    told = drawn.withColumn("_u", uniform(seed, "bootstrap", [*keys, "replicate"]))
+    w = F.when(F.col("replicate") == 0, 1).otherwise(weight(F.col("_u")))
+    weighed = told.withColumn("_w", w)
     means = weighed.groupBy(*groups, "replicate").agg(
-        (F.sum(F.col("_w") * F.col("_d")) / F.sum("_w")).alias("_mean"), F.sum("_w").alias("_n")
+        F.try_divide(F.sum(F.when(F.col("_w") > 0, F.col("_w") * F.col("_d"))), F.sum("_w")).alias("_mean"), F.sum("_w").alias("_n")
     )
     sample, draws = F.col("replicate") == 0, F.when(F.col("replicate") > 0, F.col("_mean"))
     return means.groupBy(*groups).agg(

@@ -238,3 +238,21 @@ def test_resampling(spark):
     assert got[(None, "b")]["difference"] == 0 and got[(None, "b")]["not_ahead"] == 1
     again = resampling.bootstrap(scores.repartition(7), ["id"], ["run"], replicates=300).collect()
     assert {(r["run"], r["other"]): round(r["ci_low"], 9) for r in again} == {k: round(r["ci_low"], 9) for k, r in got.items()}
+
+
+def test_draws_are_spread_and_made_once(spark, monkeypatch):
+    from plainweave.operators import resampling
+
+    log = spark.range(400).selectExpr(
+        "id div 2 AS k", "1 AS run_id", "if(id % 2 = 0, 'a', 'b') AS model", "cast(pmod(id * 37, 101) AS double) AS sari"
+    )
+    whole = resampling.bootstrap(log, ["k"], ["run_id"], replicates=20)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and "Repartition" in plan
+    monkeypatch.setattr(resampling, "DRAWS", 100)
+    spread = resampling.bootstrap(log, ["k"], ["run_id"], replicates=20)
+    assert "Repartition 42" in spread._jdf.queryExecution().optimizedPlan().toString()
+    one, other = whole.collect()[0].asDict(), spread.collect()[0].asDict()
+    assert one["rows"] == other["rows"] == 200
+    assert all(one[c] == pytest.approx(other[c]) if isinstance(one[c], float) else one[c] == other[c] for c in one)
+    assert resampling.bootstrap(log.where("k < 0"), ["k"], ["run_id"], replicates=2).count() == 0
