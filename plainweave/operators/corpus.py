@@ -11,9 +11,13 @@ from plainweave.functions.chat import conversation, instruction, two_turns
 from plainweave.functions.text import normal_tokens, sentences, words
 from plainweave.operators import alignment
 from plainweave.operators.position import with_position
+from plainweave.operators.sari import placed
 from plainweave.operators.staging import stage
 
 
+PART_BYTES = 1 << 20  # of text in a part that is compared
+
+
 def complete(df: DataFrame) -> DataFrame:
     """Rows with both texts."""
     return df.where(F.col("prompt").isNotNull() & F.col("result").isNotNull())
@@ -76,11 +80,14 @@ def difficulty_order(
 ) -> DataFrame:
     """Keys, difference and position in the curriculum: least changed first.
 
-    The differences are written before they are ranked, since ranking samples
-    its input first and would compute them twice.
+    The texts are placed by their size: after a join of few bytes adaptive
+    execution would compare them all in a few tasks. The differences are written
+    before they are ranked, since ranking samples its input first and would
+    compute them twice.
     """
+    texts = placed(df, keys, ["prompt", "result"], per_part=PART_BYTES)
     changed = measure(F.col("prompt"), F.col("result")).alias("difference")
-    return with_position(stage(df.select(*keys, changed)), ["difference", *keys])
+    return with_position(stage(texts.select(*keys, changed)), ["difference", *keys])
 
 
 def add_instruction(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:

@@ -256,3 +256,38 @@ def test_draws_are_spread_and_made_once(spark, monkeypatch):
     assert one["rows"] == other["rows"] == 200
     assert all(one[c] == pytest.approx(other[c]) if isinstance(one[c], float) else one[c] == other[c] for c in one)
     assert resampling.bootstrap(log.where("k < 0"), ["k"], ["run_id"], replicates=2).count() == 0
+
+
+def test_unlike_texts_skip_the_diagonals(monkeypatch):
+    looked = []
+    few = alignment._few_edits
+    monkeypatch.setattr(alignment, "_few_edits", lambda a, b, most: looked.append(most) or few(a, b, most))
+    assert alignment.distance(list(range(100)), list(range(100, 190))) == 100
+    assert not looked
+    same = list(range(300))
+    assert alignment.distance([*same, 7, *same], [*same, 8, *same]) == 1
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    draw = random.Random(5)
+    for _ in range(200):
+        a = [draw.randrange(6) for _ in range(draw.randrange(40))]
+        b = [x for x in a if draw.random() < 0.8] if draw.random() < 0.5 else [draw.randrange(6) for _ in range(draw.randrange(40))]
+        assert alignment.distance(a, b) == plain(a, b)
+
+
+def test_compared_texts_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "PART_BYTES", 200)
+    frame = spark.range(200).selectExpr("id", "concat('a b ', id) AS prompt", "concat('a ', id) AS result").coalesce(1)
+    seen = []
+    monkeypatch.setattr(corpus, "stage", lambda df: seen.append(df.rdd.getNumPartitions()) or df)
+    got = corpus.difficulty_order(frame, ["id"], corpus.edit_difference).collect()
+    assert seen[0] > 8
+    assert len(got) == 200 and {r["difference"] for r in got} == {1 / 3}
