@@ -17,13 +17,15 @@ from plainweave.sources.writers import write_lines
 def answer_texts(
     texts: DataFrame, factory: Callable, template: str = "role_tags",
     system: str | None = None, settings: dict | None = None, batch_size: int = 64,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Render every text for generation and answer it. ``factory`` receives the
-    generation settings and gets the rendered text."""
+    generation settings and gets the rendered text. The answers come with the
+    columns of ``texts``, or those of them in ``keep``."""
     chosen = None if system is None else F.lit(system)
     asked = render_turns(inference_turns(F.col("text"), chosen), template, answer=True)
     rows = texts.withColumn("asked", asked)
-    return predict(rows, "asked", factory, settings, batch_size).drop("asked")
+    return predict(rows, "asked", factory, settings, batch_size, keep=texts.columns if keep is None else keep)
 
 
 def simplify_file(spark: SparkSession, source: str, target: str, factory: Callable, **options):
@@ -36,5 +38,6 @@ def simplify_file(spark: SparkSession, source: str, target: str, factory: Callab
     )
     # written before they are sorted: sorting reads its input twice, and the
     # model shall answer each text once
-    answered = stage(answer_texts(keep_texts(lines), factory, **options).drop("text"))
-    write_lines(answered, target, ["file", "part", "line"], "prediction")
+    order = ["file", "part", "line"]
+    answered = stage(answer_texts(keep_texts(lines), factory, **options, keep=order))
+    write_lines(answered, target, order, "prediction")

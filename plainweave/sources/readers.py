@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plainweave.functions.text import strip
+from plainweave.functions.text import SPACE, strip
 
 PAIR_SCHEMA = T.StructType(
     [
@@ -77,7 +77,9 @@ def one_text(spark: SparkSession, text: str) -> DataFrame:
 
 
 def keep_texts(df: DataFrame) -> DataFrame:
-    return df.withColumn("text", strip(F.col("text"))).where(F.length("text") > 0)
+    # whether anything is left shows at the first character that is no white
+    # space: a filter on the trimmed text would trim it twice
+    return df.where(F.col("text").rlike(f"[^{SPACE}]")).withColumn("text", strip(F.col("text")))
 
 
 def text_lines(df: DataFrame, keys: list[str]) -> DataFrame:

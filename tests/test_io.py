@@ -228,3 +228,17 @@ def test_sampling_reads_only_keys(spark, tmp_path):
     got = sampling.sample_exact(spark.read.parquet(path), ["row_id"], {"val": 3})
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # texts are kept or dropped where they are read
+
+
+def test_lines_are_trimmed_once(spark):
+    rows = [(1, " a "), (2, "\u2003\t"), (3, None), (4, ""), (5, "\u00a0b\u00a0c")]
+    kept = readers.keep_texts(spark.createDataFrame(rows, "id int, text string"))
+    assert {tuple(r) for r in kept.collect()} == {(1, "a"), (5, "b\u00a0c")}
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_only_what_is_kept_returns(spark):
+    df = spark.createDataFrame([(1, "b a", "x"), (2, None, "y"), (3, "", "z")], "id int, text string, other string")
+    got = predict.predict(df, "text", predict.BASELINES["identity"], keep=["id"])
+    assert got.columns == ["id", "prediction"]
+    assert sorted(map(tuple, got.collect())) == [(1, "b a"), (2, None), (3, "")]
