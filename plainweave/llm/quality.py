@@ -30,6 +30,7 @@ from plainweave.llm import words as W
 from plainweave.operators.staging import stage
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+SLICE_BYTES = 1 << 18  # of text counted at once; its arrays take a hundred times as much
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 H = 0.75
@@ -107,7 +108,7 @@ def base_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         hasher, kind = W.Hasher(2), W.not_space()
         symbol = np.zeros(256, bool)
         symbol[list(SYMBOLS)] = True
-        for batch in W.slices(batches, text_col):
+        for batch in W.slices(batches, text_col, SLICE_BYTES):
             made = _count(batch.column(text_col), hasher, kind, symbol)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), *(pa.array(m.astype(np.int64)) for m in made)], [*keep, *BASE]

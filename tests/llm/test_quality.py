@@ -105,3 +105,14 @@ def test_sources_are_estimated_by_themselves(spark):
     assert not got[5000]["kept"] and not got[5001]["kept"]
     assert all(got[k]["kept"] for k in [*range(300), *range(1000, 1300)])
     assert len(got) == len(rows)
+
+
+def test_free_memory_goes_back(monkeypatch):
+    import pyarrow as pa
+    from plainweave.llm import words as W
+
+    given = []
+    monkeypatch.setattr(W, "give_back", lambda: given.append(1), raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(["ab", None, "c" * 9, ""])], ["text"])
+    found = [t for s in W.slices([batch, batch], "text", 4) for t in s.column("text").to_pylist()]
+    assert found == 2 * ["ab", None, "c" * 9, ""] and given == [1]
