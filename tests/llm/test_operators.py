@@ -178,6 +178,45 @@ def test_pieces_as_the_library(spark, docs):
     assert {r["doc_id"]: r["text"] for r in back} == {i: library.decode(library.encode(t)) for i, t in hard}
 
 
+def test_short_parts_are_filled_together(monkeypatch):
+    """Single tables took 900 CPU seconds a GB: one is left to each long part."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    pytest.importorskip("public_tokenizers")
+    import random
+
+    path = queries.tokenizer_path()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    model, alone = pieces.Pieces(pieces.read_model(path)).ready(), []
+    plain = model.tokens
+    monkeypatch.setattr(model, "tokens", lambda part: alone.append(part) or plain(part))
+    draw, names = random.Random(4), [*model.ids, "🙂", "\n"]
+    words = ["".join(draw.choice(names) for _ in range(draw.choice([1, 2, 3, 5]))) for _ in range(5000)]
+    words += ["".join(draw.choice("aehinorst") for _ in range(draw.choice([2, 9, 30, 62, 63]))) for _ in range(5000)]
+    words = [w for w in words if len(w) < pieces.SHORT]
+    assert model.encode(" ".join(words)) == library.encode(" ".join(words))
+    assert not alone
+    long = " ".join(["a" * pieces.SHORT, "b" * 500, "b" * 500, "▁" * 70, "c" * (pieces.SHORT - 1)])
+    assert model.encode(long) == library.encode(long)
+    assert len(alone) == 3 == len(set(alone))
+
+
+def test_pairs_at_once_fit_as_one_by_one():
+    pytest.importorskip("public_tokenizers")
+    import random
+
+    import numpy as np
+
+    model = pieces.Pieces(pieces.read_model(queries.tokenizer_path())).ready()
+    draw, names = random.Random(6), [*model.number.values(), model.other]
+    pairs = [(draw.choice(names), draw.choice(names)) for _ in range(20000)]
+    pairs += [divmod(k, model.base) for k in draw.sample(sorted(model.joins), 5000)]
+    pairs += [(model.number[pieces.MARK], n) for n in names]
+    left, right = np.array(pairs, np.int32).T
+    expected = [model._compatible(a, b) for a, b in pairs]
+    for _ in range(2):  # met, then known
+        assert model.all_fit(left, right).tolist() == expected
+
+
 def test_pairs_fit_as_merging_says():
     pytest.importorskip("public_tokenizers")
     import random
