@@ -178,6 +178,41 @@ def test_pieces_as_the_library(spark, docs):
     assert {r["doc_id"]: r["text"] for r in back} == {i: library.decode(library.encode(t)) for i, t in hard}
 
 
+def test_rows_are_decoded_from_their_ids():
+    """Texts of pieces alone were taken for what their ids decode to."""
+    pytest.importorskip("sentencepiece")
+    pytest.importorskip("public_tokenizers")
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    model = pieces.Pieces(pieces.read_model(queries.tokenizer_path()))
+    texts = ["a word", "a word", None, "", "no such", "a 🙂word word", " word", "a word"]
+    for text in ("▁word", "word"):
+        model.surface[model.ids[text]] = model.surface[model.ids[text]].replace("word", "other")
+    rows = [pa.RecordBatch.from_pydict({"text": pa.array(texts[k : k + 4], pa.string())}) for k in (0, 4)]
+    for with_ids in (False, True):
+        made = list(pieces._encoder(SimpleNamespace(value=model), "text", [], with_ids)(iter(rows)))
+        got = [d for batch in made for d in batch.column("decoded_sha256").to_pylist()]
+        assert got == [sha((t or "").replace("word", "other")) for t in texts]
+
+
+def test_ids_of_many_rows_decode_as_one_by_one():
+    pytest.importorskip("public_tokenizers")
+    import random
+
+    import numpy as np
+
+    model, draw = pieces.Pieces(pieces.read_model(queries.tokenizer_path())).ready(), random.Random(7)
+    one, two = (model.byte_ids[b] for b in "é".encode())
+    rows = [[], [one, two], [one], [two], [one, 1, two], [0], [1, 2], [0, one, two], []]
+    rows += [[draw.randrange(model.count) for _ in range(draw.randrange(40))] for _ in range(300)]
+    rows += [[draw.choice([0, 1, *model.byte_ids]) for _ in range(draw.randrange(9))] for _ in range(300)]
+    ids, ends = np.array([i for row in rows for i in row], np.int32), np.cumsum([len(row) for row in rows])
+    assert model.decode_all(ids, ends) == [model.decode(row) for row in rows]
+    assert model.decode_all(ids[:0], np.zeros(2, int)) == ["", ""]
+
+
 def test_short_parts_are_filled_together(monkeypatch):
     """Single tables took 900 CPU seconds a GB: one is left to each long part."""
     sentencepiece = pytest.importorskip("sentencepiece")
